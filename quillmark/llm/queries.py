@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import simhash
+from quillmark.llm import bpe, line_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op6_line_dedup": line_dedup.op6,
+        "op10_byte_bpe": bpe.op10,
         "op9_simhash_near_dedup": simhash.op9,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_line_dedup": line_dedup.OP6_SQL,
+    }
