@@ -42,8 +42,10 @@ class Vocabulary:
     def __init__(self, body: bytes) -> None:
         self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in body.splitlines() if x.strip())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.suffixes = {token[i:] for token in self.ranks for i in range(len(token))}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: Every end of a token, with its rank if it is itself one, else -1.
+        self.ends = {token[i:]: -1 for token in self.ranks for i in range(len(token))} | self.ranks
+        self.longest = max(map(len, self.ranks))
+        self.pairs: dict[int, bool] = {}
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing[:5]}")
@@ -61,16 +63,39 @@ class Vocabulary:
 
     def follows(self, before: int, token: int) -> bool:
         """Whether BPE leaves ``token`` alone after ``before`` (-1: at the start)."""
-        key = (before, token)
-        known = self._pairs.get(key)
-        if known is None:
-            own = [token] if before < 0 else [before, token]
-            known = self.merged(b"".join(self.tokens[t] for t in own)) == own
-            if len(self._pairs) >= _CACHE:
-                self._pairs.clear()
-            self._pairs[key] = known
+        own = [token] if before < 0 else [before, token]
+        known = self.merged(b"".join(self.tokens[t] for t in own)) == own
+        if len(self.pairs) >= _CACHE:
+            self.pairs.clear()
+        self.pairs[before << 32 | token] = known
         return known
 
+    def extend(self, data: bytes, last: list[int]) -> None:
+        """Appends to ``last`` the last token of each prefix of ``data`` beyond the first ``len(last)``."""
+        ends, pairs = self.ends, self.pairs
+        for end in range(len(last) + 1, len(data) + 1):
+            for start in range(end - 1, -1, -1):
+                token = ends.get(data[start:end])
+                if token is None:
+                    raise ValueError("no token ends here; the vocabulary isn't one of BPE")
+                if token >= 0:
+                    before = last[start - 1] if start else -1
+                    known = pairs.get(before << 32 | token)
+                    if known or (known is None and self.follows(before, token)):
+                        last.append(token)
+                        break
+            else:
+                raise ValueError("no token ends here; the vocabulary isn't one of BPE")
+
+    def path(self, data: bytes, last: list[int]) -> list[int]:
+        """The tokens of ``data``, read backwards from the last one."""
+        out, end, tokens = [], len(data), self.tokens
+        while end:
+            token = last[end - 1]
+            out.append(token)
+            end -= len(tokens[token])
+        return out[::-1]
+
 
 class Prefixes:
     """The last token of every prefix of ``data``."""
@@ -81,22 +106,9 @@ class Prefixes:
         self.last: list[int] = []
         self.append(data)
 
-    def _at(self, end: int) -> int:
-        vocabulary, data = self.vocabulary, self.data
-        for start in range(end - 1, -1, -1):
-            part = data[start:end]
-            if part not in vocabulary.suffixes:
-                break
-            token = vocabulary.ranks.get(part)
-            if token is not None and vocabulary.follows(self.last[start - 1] if start else -1, token):
-                return token
-        raise ValueError("no token ends here; the vocabulary isn't one of BPE")
-
     def append(self, more: bytes) -> None:
-        done = len(self.data)
         self.data += more
-        for end in range(done + 1, len(self.data) + 1):
-            self.last.append(self._at(end))
+        self.vocabulary.extend(self.data, self.last)
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Puts ``new`` for ``data[start:stop]``; returns how many prefixes were computed."""
@@ -104,64 +116,68 @@ class Prefixes:
         self.data = self.data[:start] + new + self.data[stop:]
         self.last = self.last[:start]
         edited = start + len(new)
-        longest = max(map(len, self.vocabulary.ranks))
         agree = 0
         for end in range(start + 1, len(self.data) + 1):
-            token = self._at(end)
-            self.last.append(token)
-            agree = agree + 1 if end > edited and token == old[end - edited - 1] else 0
-            if agree >= longest:  # all that later prefixes look back on is as before
+            self.vocabulary.extend(self.data[:end], self.last)
+            agree = agree + 1 if end > edited and self.last[-1] == old[end - edited - 1] else 0
+            if agree >= self.vocabulary.longest:  # all that later prefixes look back on is as before
                 self.last += old[end - edited :]
                 return end - start
         return len(self.data) - start
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end - 1])
-            end -= len(self.vocabulary.tokens[out[-1]])
-        return out[::-1]
+        return self.vocabulary.path(self.data, self.last)
 
 
-class _Words(dict):
-    """Encodings of words as they stand after ``lead``; None where neighbours matter."""
+class _Kept(dict):
+    """A bounded cache: when it is full, what was used since the last time stays."""
 
-    def __init__(self, encoder: Encoder, lead: str) -> None:
-        self.encoder, self.lead = encoder, lead
+    def __init__(self, make) -> None:
+        self.make, self.old = make, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...] | None:
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
         if len(self) >= _CACHE:
+            self.old = dict(self)
             self.clear()
-        ids = self.encoder.pieces(self.lead + word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        if len(key) <= 64:
+            self[key] = out
+        return out
 
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         self.vocabulary = vocabulary
         self.split = regex.compile(pattern).findall
-        self.first, self.next = _Words(self, ""), _Words(self, " ")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known, self.begun = _Kept(self._piece), _Kept(self._begin)
+        self.first, self.next = _Kept(lambda word: self._word("", word)), _Kept(lambda word: self._word(" ", word))
         self.line = self.pieces("\n")
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        out = self.known.get(text)
-        if out is None:
-            data = text.encode("utf-8", "replace")
-            rank = self.vocabulary.ranks.get(data)
-            out = (rank,) if rank is not None else tuple(Prefixes(self.vocabulary, data).ids())
-            if len(self.known) >= _CACHE:
-                self.known.clear()
-            if len(text) <= 64:
-                self.known[text] = out
-        return out
+    def _begin(self, start: bytes) -> tuple[int, ...]:
+        """The last tokens of the prefixes of a beginning that pieces share."""
+        last = list(self.begun[start[:-3]]) if len(start) > 3 else []
+        self.vocabulary.extend(start, last)
+        return tuple(last)
+
+    def _piece(self, text: str) -> tuple[int, ...]:
+        data = text.encode("utf-8", "replace")
+        rank = self.vocabulary.ranks.get(data)
+        if rank is not None:
+            return (rank,)
+        last = list(self.begun[data[: min(12, (len(data) - 1) // 3 * 3)]])
+        self.vocabulary.extend(data, last)
+        return tuple(self.vocabulary.path(data, last))
+
+    def _word(self, lead: str, word: str) -> tuple[int, ...] | None:
+        """The ids of a word as it stands after ``lead``; None where its neighbours matter."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        return self.pieces(lead + word)
 
     def pieces(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.piece, self.split(text))))
+        return tuple(chain.from_iterable(map(self.known.__getitem__, self.split(text))))
 
     def encode(self, text: str) -> list[int]:
         """A word between single blanks is split alike wherever it stands; other spacing is split as a whole."""
@@ -172,10 +188,9 @@ class Encoder:
             parts.append(line)
             parts.append(first(words[0]))
             parts.extend(map(after, words[1:]))
-        try:
-            return list(chain.from_iterable(parts[1:]))
-        except TypeError:
+        if None in parts:
             return list(self.pieces(text))
+        return list(chain.from_iterable(parts[1:]))
 
 
 _encoders: dict[tuple[bytes, str], Encoder] = {}
