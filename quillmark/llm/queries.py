@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bpe, line_dedup, simhash
+from quillmark.llm import bpe, chat_format, line_dedup, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_chat_format": chat_format.op3,
+        "op4_quality_rules": quality_rules.op4,
         "op6_line_dedup": line_dedup.op6,
         "op10_byte_bpe": bpe.op10,
         "op9_simhash_near_dedup": simhash.op9,
@@ -21,5 +23,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_chat_format": chat_format.OP3_SQL,
+        "op4_quality_rules": quality_rules.OP4_SQL,
         "op6_line_dedup": line_dedup.OP6_SQL,
     }
