@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from quillmark.llm import kernel
 from quillmark.llm.storage import ship
 
-_CACHE = 300_000
+_CACHE = 120_000
 #: A vocabulary is sent to all tasks; larger files are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -65,7 +65,7 @@ class Vocabulary:
         """Whether BPE leaves ``token`` alone after ``before`` (-1: at the start)."""
         own = [token] if before < 0 else [before, token]
         known = self.merged(b"".join(self.tokens[t] for t in own)) == own
-        if len(self.pairs) >= _CACHE:
+        if len(self.pairs) >= 2 * _CACHE:
             self.pairs.clear()
         self.pairs[before << 32 | token] = known
         return known
@@ -174,7 +174,8 @@ class Encoder:
         """The ids of a word as it stands after ``lead``; None where its neighbours matter."""
         if not word or word[0].isspace() or word[-1].isspace():
             return None
-        return self.pieces(lead + word)
+        found = self.split(lead + word)
+        return self._piece(found[0]) if len(found) == 1 else tuple(chain.from_iterable(map(self.known.__getitem__, found)))
 
     def pieces(self, text: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self.known.__getitem__, self.split(text))))
