@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import bpe, chat_format, decontaminate, license_scan, line_dedup, quality_rules, simhash
+from quillmark.llm import bpe, chat_format, decontaminate, license_scan, line_dedup, quality_rules, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op4_quality_rules": quality_rules.op4,
         "op5_license_scan": license_scan.op5,
         "op6_line_dedup": line_dedup.op6,
+        "op8_warc": warc.op8,
         "op10_byte_bpe": bpe.op10,
         "op9_simhash_near_dedup": simhash.op9,
     }
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": quality_rules.OP4_SQL,
         "op5_license_scan": license_scan.op5_sql(),
         "op6_line_dedup": line_dedup.OP6_SQL,
+        "op8_warc": warc.OP8_SQL,
     }
