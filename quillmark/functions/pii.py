@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmark.functions.text import BLANKS, NWS, WB, WORD, WS, D, W, blank, let, text_of
+from quillmark.functions.text import BLANKS, NOT_AFTER_DIGIT, NWS, WB, WORD, WS, D, W, blank, let, text_of
 
 PAIRS = "array<struct<kind: string, value: string>>"
-_FREE = f"(?<!{D})", f"(?!{D})"
+_FREE = NOT_AFTER_DIGIT, f"(?!{D})"
 _SEP = r"[-. ]"
 _WS = f"[{BLANKS}-]"
 

@@ -21,8 +21,12 @@ WORD = r"\p{L}\p{N}_"
 W = f"[{WORD}]"
 NW = f"[^{WORD}]"
 D = r"\p{Nd}"
+# Look-behind steps over whole characters beyond U+FFFF only if the pattern itself holds one.
+AFTER_WORD = f"(?<=[{WORD}\U00010000])"
+NOT_AFTER_WORD = f"(?<![{WORD}\U00010000])"
+NOT_AFTER_DIGIT = f"(?<![{D}\U0001d7ce])"
 #: A word character on one side only.
-WB = f"(?:(?<={W})(?!{W})|(?<!{W})(?={W}))"
+WB = f"(?:{AFTER_WORD}(?!{W})|{NOT_AFTER_WORD}(?={W}))"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import language, links, markdown
 from quillmark.functions.pii import SENSITIVE
-from quillmark.functions.text import BLANKS, WORD, WS, W, contains_any, count_of, py_count, py_lines, py_strip, text_of
+from quillmark.functions.text import BLANKS, NOT_AFTER_WORD, WS, W, contains_any, count_of, py_count, py_lines, py_strip, text_of
 from quillmark.plans.registry import ANSWER, QUERY, RETRIEVED_DOCS, SEARCH_QUERY, Pack, Rule
 
 # Words, marks and tokens of the rules.
@@ -41,7 +41,7 @@ def _on(build):
 
 
 def _error_keyword(c: dict[str, Column]) -> Column:
-    return c["text"].rlike(f"(?iu)(?<!{W})(?:{'|'.join(ERRORS)})(?!{W})") | contains_any(c["text"], ERRORS_KO)
+    return c["text"].rlike(f"(?iu){NOT_AFTER_WORD}(?:{'|'.join(ERRORS)})(?!{W})") | contains_any(c["text"], ERRORS_KO)
 
 
 def _answer_truncated(c: dict[str, Column]) -> Column:

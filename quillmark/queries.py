@@ -159,6 +159,10 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", url.alias("url")).select("page_id", "url", links.invalid_url(F.col("url")).alias("hit"))
 
 
+def _sixteen() -> Column:
+    return F.lpad(F.concat(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")), 16, "0")
+
+
 _TAG_CASES = ", ".join(f"case when {n} then '{n}' end" for n in S.B_ORDER)
 _OLD = "case when id < -40 then '' when id < 0 then 'kept,invalid_link,kept' else '' end"
 _NEW_ONLY = ", ".join(f"case when {n} and not (id >= -40 and id < 0 and '{n}' = 'invalid_link') then '{n}' end" for n in S.B_ORDER)
@@ -192,9 +196,8 @@ def _table() -> dict[str, tuple[Query, str | None]]:
     out["fn_mask_pii"] = _value("masked", pii.mask_pii), None
     out["fn_mask_pii_tail"] = _value("masked", lambda c: pii.mask_pii(c, "#", 4)), None
     out["fn_valid_ipv4"] = (lambda s, d: s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", pii.valid_ipv4(F.concat_ws(".", F.col("o_orderkey") % 300, F.lit(1), F.lit(2), F.lit(3))).alias("hit"))), "select o_orderkey, o_orderkey % 300 <= 255 as hit from orders"
-    luhn = F.lpad(F.concat(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")), 16, "0")
     digits = "lpad(o_orderkey::varchar || o_custkey::varchar, 16, '0')"
-    out["fn_luhn16"] = (lambda s, d: s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", pii.luhn16(luhn).alias("hit"))), f"select o_orderkey, list_sum([case when k % 2 = 1 and 2 * {digits}[k]::int > 9 then 2 * {digits}[k]::int - 9 when k % 2 = 1 then 2 * {digits}[k]::int else {digits}[k]::int end for k in range(1, 17)]) % 10 = 0 as hit from orders"
+    out["fn_luhn16"] = (lambda s, d: s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", pii.luhn16(_sixteen()).alias("hit"))), f"select o_orderkey, list_sum([case when k % 2 = 1 and 2 * {digits}[k]::int > 9 then 2 * {digits}[k]::int - 9 when k % 2 = 1 then 2 * {digits}[k]::int else {digits}[k]::int end for k in range(1, 17)]) % 10 = 0 as hit from orders"
     out["fn_flags_existing"] = _existing, f"with {S._turns()} select id, {_OLD} as flags from t"
     out["fn_tally"] = (lambda s, d: s.read.parquet(f"{d}/orders.parquet").groupBy("o_orderstatus").agg(tally(F.count_if(F.col("o_custkey") > 10), F.count("*")).alias("tally"))), "select o_orderstatus, format('{:,} / {:,}', count(*) filter (where o_custkey > 10), count(*)) as tally from orders group by o_orderstatus"
     out["fn_is_null"] = (lambda s, d: _log(s, d).select("key", contract.is_null(F.col("key")).alias("hit"))), f"{_VAL.partition('f as (')[0].rstrip().rstrip(',')} select key, trim(key) = 'NA' as hit from r"

@@ -23,7 +23,7 @@ def write_csv(df: DataFrame, path: str, keep: Sequence[str] | None = None, singl
     """A folder of CSV parts with a header; lists as text. ``single_file`` puts all rows through one task."""
     df = keep_columns(df, keep)
     out = df.select(*[(list_text(F.col(f"`{c}`")) if kind.startswith("array") else F.col(f"`{c}`")).alias(c) for c, kind in df.dtypes])
-    (out.coalesce(1) if single_file else out).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="")
+    (out.coalesce(1) if single_file else out).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_parquet(df: DataFrame, path: str, keep: Sequence[str] | None = None) -> None:
