@@ -2,8 +2,8 @@
 
 Line frequency: a line is normalised (lower case, runs of blanks to one space)
 and hashed. Per host the distinct documents with that hash are counted; copies
-of one document count once, as documents are told apart by the least line hash
-they have, which an edit elsewhere leaves alone. Lines in more than
+of one document count once, as documents are told apart by the least hash among
+their other lines, which an edit elsewhere leaves alone. Lines in more than
 ``max_documents`` are removed, and a document of which fewer than ``min_words``
 words or less than ``min_share`` of its words remain is rejected.
 
@@ -83,7 +83,7 @@ def base_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _line_table(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """(id, digest of the text, host, least line hash, line number, line hash, words) for each line with a word."""
+    """(id, digest of the text, host, least hash of the other lines, line number, line hash, words) for each line with a word."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
 
     def row(line: Column, i: Column) -> Column:
@@ -93,9 +93,11 @@ def _line_table(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
 
     rows = F.filter(F.transform(F.split(text, "\n"), row), lambda x: x["on"])
     out = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("t"), F.col(f"`{host_col}`").alias("host"), rows.alias("rows"))
-    sketch = F.array_min(F.transform("rows", lambda x: x["h"]))
-    out = out.select("id", "t", "host", sketch.alias("sketch"), F.explode("rows").alias("x"))
-    return out.select("id", "t", "host", "sketch", "x.i", "x.h", "x.n")
+    hashes = F.sort_array(F.array_distinct(F.transform("rows", lambda x: x["h"])))
+    out = out.select("id", "t", "host", F.slice(hashes, 1, 2).alias("least"), F.explode("rows").alias("x"))
+    first, second = F.get("least", F.lit(0)), F.get("least", F.lit(1))
+    sketch = F.when(F.col("x.h") == first, F.coalesce(second, first)).otherwise(first)
+    return out.select("id", "t", "host", sketch.alias("sketch"), "x.i", "x.h", "x.n")
 
 
 def rules(
@@ -146,9 +148,10 @@ rows as (
 lines as (
   select doc_id, source, line, ('0x' || substr(md5(bare), 1, 15))::bigint as h, len(string_split(bare, ' ')) as n
   from rows where bare <> ''),
-sketches as (select doc_id, min(h) as sketch from lines group by doc_id),
+least as (select doc_id, list_sort(list(distinct h)) as a from lines group by doc_id),
 common as (
-  select source, h from lines join sketches using (doc_id) group by source, h having count(distinct sketch) > {MAX_DOCUMENTS}),
+  select source, h from lines join least using (doc_id) group by source, h
+  having count(distinct case when h = a[1] then coalesce(a[2], a[1]) else a[1] end) > {MAX_DOCUMENTS}),
 hits as (
   select doc_id, sum(n) as n from lines l join common c on l.h = c.h and l.source is not distinct from c.source group by doc_id),
 dups as (select doc_id, count(*) - count(distinct line) as n from lines group by doc_id),
