@@ -171,29 +171,19 @@ def _member(source: _Range) -> bytes:
 
 
 def _starts(source: _Range, end: int) -> Iterator[int]:
-    """Stands at each member that starts before ``end``, the first one found by its magic."""
-    found = False
+    """Stands at each member that starts before ``end``; other bytes are passed over."""
     while source.at < end:
-        if found and len(source.data) < len(_MAGIC):
-            source.more()
-        if found and source.data.startswith(_MAGIC):
-            yield source.at
-            continue
-        # the first one in the range, or the next one after bytes that are no member
-        found = False
-        i = source.data.find(_MAGIC)
-        if i < 0:
-            source.skip(max(0, len(source.data) - len(_MAGIC) + 1))
-            if not source.more():
-                return
-            continue
-        source.skip(i)
-        if source.at >= end:
-            return
         while len(source.data) < 4096 and source.more():
             pass
-        if _is_member(source.data):
-            found = True
+        i = source.data.find(_MAGIC)
+        if i < 0:
+            if len(source.data) < 4096:
+                return  # the file ends
+            source.skip(len(source.data) - len(_MAGIC) + 1)
+        elif i:
+            source.skip(i)
+        elif _is_member(source.data):
+            yield source.at
         else:
             source.skip(1)
 
