@@ -80,10 +80,12 @@ def _link(to_first: bool):
             edge = np.zeros(n, dtype=bool)
             if first:
                 edge |= (group == 0) & in_first
+                edge[second[0]] |= second[0] >= 0
                 first = False
             tail = group == group[-1]
             if last:
                 edge |= tail & (in_first | (run == run[-1]))
+                edge[runs[-1] - 1] |= runs[-1] > begin[-1]  # one of another document than the last
                 a = np.flatnonzero(edge)
                 if len(a):
                     yield out(1, rows, a, a)
