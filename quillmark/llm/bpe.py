@@ -269,7 +269,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
                 column = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], [*rest, bytes_col])
 
-    return df.mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded") -> list:
