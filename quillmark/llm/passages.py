@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quillmark.llm import kernel
 from quillmark.llm.storage import Scratch
 
-_STEP = 500_000
+_STEP = 250_000
 _SEGMENT_BITS = 20
 MAX_FILTER_BYTES = 64 << 20
 ROWS = "key long, ord int, id long, pos int, ext long"

@@ -114,7 +114,7 @@ def extend(x: list, y: list, anchors: list[tuple[int, int]], least: int) -> list
 
 def _compare(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernel.slices(batches, 3, 4 << 20):
+        for batch in kernel.slices(batches, 3):
             rows = []
             for a, b, anchors, ta, tb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x, y = ta.split(), tb.split()
