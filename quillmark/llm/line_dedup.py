@@ -171,7 +171,9 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     ids = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t"))
     suspects = scratch.table(ids.mapInArrow(_suspects(least, bits, sent), f"id {kind}, key binary"), "suspects")
+    # a table of its own: the join can then split a key that very many documents hold
     counts = suspects.groupBy("key").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= documents)
+    counts = scratch.table(counts.select("key", "keeper"), "counts")
     gone = suspects.join(counts, "key").where("id is null or id <> keeper")
     return scratch.table(gone.groupBy("id").agg(F.collect_set("key").alias("gone")), "gone")
 
