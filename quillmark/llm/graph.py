@@ -44,7 +44,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     star = scratch.table(edges.select("u", "v").where("u <> v").mapInArrow(_contract, "u long, v long"), f"{name}-0")
     for step in range(1, _MAX_ROUNDS):
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # a table of its own: the join can then split a node with very many links
+        least = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-{step}m")
         # large star: each larger neighbour goes to the least of the neighbourhood
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.table(large.where("u <> v").distinct(), f"{name}-{step}l")
@@ -58,6 +59,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
         inner = star.select(F.col("v").alias("u")).join(star.select("u"), "u", "left_semi").limit(1).count()
         scratch.drop(f"{name}-{step - 1}")
         scratch.drop(f"{name}-{step}l")
+        scratch.drop(f"{name}-{step}m")
         del before
         if not inner and row.n == row.d:
             return star.select(F.col("u").alias("node"), F.col("v").alias("root"))
