@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.native import BLANK_RUN, BLANKS, digest60, let, words
+from quillmark.llm.storage import Scratch
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -110,7 +111,8 @@ def rules(
     min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """``docs`` with the columns of :func:`base_rules`, n_common_words (in lines above the limit) and kept."""
-    lines = _line_table(docs, id_col, text_col, host_col)
+    # both uses read the same small table, so texts are parted into lines once
+    lines = Scratch(docs.sparkSession, "lines").table(_line_table(docs, id_col, text_col, host_col), "lines")
     common = lines.groupBy("host", "h").agg(F.countDistinct("sketch").alias("docs")).where(F.col("docs") > max_documents)
     common = common.select(F.col("host").alias("host2"), F.col("h").alias("h2"))
     hits = lines.join(common, F.col("host").eqNullSafe(F.col("host2")) & (F.col("h") == F.col("h2")))
