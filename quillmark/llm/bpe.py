@@ -132,14 +132,14 @@ class Prefixes:
 class _Kept(dict):
     """A bounded cache: when it is full, what was used since the last time stays."""
 
-    def __init__(self, make) -> None:
-        self.make, self.old = make, {}
+    def __init__(self, make, size: int = _CACHE) -> None:
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
         out = self.old.get(key)
         if out is None:
             out = self.make(key)
-        if len(self) >= _CACHE:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         if len(key) <= 64:
@@ -152,7 +152,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.split = regex.compile(pattern).findall
         self.known, self.begun = _Kept(self._piece), _Kept(self._begin)
-        self.first, self.next = _Kept(lambda word: self._word("", word)), _Kept(lambda word: self._word(" ", word))
+        self.first, self.next = _Kept(lambda word: self._word("", word), _CACHE // 4), _Kept(lambda word: self._word(" ", word), 2 * _CACHE)
         self.line = self.pieces("\n")
 
     def _begin(self, start: bytes) -> tuple[int, ...]:
