@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmark.functions.text import NWS, blank, count_of, let, text_of
+from quillmark.functions.text import NWS, blank, chars_of, let, text_of
 
 # The script classes of pack A, in the order that decides ties.
 SCRIPTS = {
@@ -37,20 +37,26 @@ def n_scripts(c: Column) -> Column:
 
 def dominant_script(c: Column) -> Column:
     """The script with most characters; null if it has fewer than three."""
-    counts = F.array(*[F.struct(count_of(c, p).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, p) in enumerate(SCRIPTS.items())])
+    counts = F.array(*[F.struct(chars_of(c, p).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, p) in enumerate(SCRIPTS.items())])
     return let(F.array_max(counts), lambda best: F.when(best["n"] >= 3, best["name"]))
 
 
 def strip_noise(c: Column) -> Column:
     """Without code blocks, inline code and addresses."""
-    c = F.regexp_replace(c, r"(?s)```.*?```", " ")
-    c = F.regexp_replace(c, r"`[^`\n]+`", " ")
-    return F.regexp_replace(c, rf"(?iu)(?:https?://|www\.){NWS}+", " ")
+
+    def code(x: Column) -> Column:
+        return F.when(x.contains("`"), F.regexp_replace(F.regexp_replace(x, r"(?s)```.*?```", " "), r"`[^`\n]+`", " ")).otherwise(x)
+
+    def addresses(x: Column) -> Column:
+        some = x.contains("://") | F.lower(x).contains("www.")
+        return F.when(some, F.regexp_replace(x, rf"(?iu)(?:https?://|www\.){NWS}+", " ")).otherwise(x)
+
+    return let(code(c), addresses)
 
 
 def detect_clean(c: Column) -> Column:
     """:func:`detect_language` of a text without noise."""
-    counts = F.struct(*[count_of(c, p).alias(name) for name, p in (("ko", HANGUL), ("ja", KANA), ("zh", HAN), ("la", LATIN))])
+    counts = F.struct(*[chars_of(c, p).alias(name) for name, p in (("ko", HANGUL), ("ja", KANA), ("zh", HAN), ("la", LATIN))])
 
     def decide(n: Column) -> Column:
         total = n["ko"] + n["ja"] + n["zh"] + n["la"]
@@ -60,7 +66,7 @@ def detect_clean(c: Column) -> Column:
             .when((n["ja"] >= 2) | ((n["ja"] >= 1) & (n["ko"] == 0) & (n["la"] < 3)), "ja")
             .when(share("ko"), "ko")
             .when(share("zh"), "zh")
-            .when(share("la"), F.when(c.rlike(f"(?iu){VIETNAMESE}"), "vi").otherwise("en"))
+            .when(share("la"), F.when(F.lower(c).rlike(r"(?![\x00-\x7f])" + VIETNAMESE), "vi").otherwise("en"))
             .when(n["ko"] > 0, "ko")
             .otherwise("unknown")
         )

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmark.functions.text import BLANKS, NOT_AFTER_DIGIT, NWS, WB, WORD, WS, D, W, blank, let, text_of
+from quillmark.functions.text import BLANKS, NOT_AFTER_DIGIT, NOT_AFTER_WORD, NWS, WB, WORD, WS, D, W, blank, let, text_of
 
 PAIRS = "array<struct<kind: string, value: string>>"
-_FREE = NOT_AFTER_DIGIT, f"(?!{D})"
+_FREE = f"(?=[{D}+]){NOT_AFTER_DIGIT}", f"(?!{D})"
 _SEP = r"[-. ]"
 _WS = f"[{BLANKS}-]"
+NOT_AFTER_WORD_AND_ONE = f"(?<![{WORD}\U00010000][MSRODmsrod])"
 
 # Kinds and formats, in the order in which matches are reported.
 PATTERNS = {
@@ -20,17 +21,20 @@ PATTERNS = {
     "rrn": rf"{_FREE[0]}{D}{{6}}{_WS}?[1-4]{D}{{6}}{_FREE[1]}",
     "card": rf"{_FREE[0]}(?:{D}{{4}}{_WS}?){{3}}{D}{{4}}{_FREE[1]}",
     "account": rf"{_FREE[0]}{D}{{2,6}}-{D}{{2,6}}-{D}{{2,7}}{_FREE[1]}",
-    "passport": rf"{WB}[MSRODmsrod]{D}{{8}}{WB}",
+    "passport": rf"[MSRODmsrod](?={D}){NOT_AFTER_WORD_AND_ONE}{D}{{8}}(?!{W})",
     "ipv4": rf"{_FREE[0]}(?:{D}{{1,3}}\.){{3}}{D}{{1,3}}{_FREE[1]}",
     "biz_no": rf"{_FREE[0]}{D}{{3}}-{D}{{2}}-{D}{{5}}{_FREE[1]}",
 }
 
-# The formats that pack A looks for.
+#: One of them is in every match of the format "secret".
+SECRET_WORDS = ("api", "secret", "token", "password")
+
+# The formats that pack A looks for. Looking ahead for the first character saves looking behind elsewhere.
 SENSITIVE = {
     "email": rf"{WB}[{WORD}.%+-]+@[{WORD}.-]+\.[A-Za-z]{{2,}}{WB}",
-    "phone": rf"{WB}0{D}{{1,2}}[{BLANKS}.-]{D}{{3,4}}[{BLANKS}.-]{D}{{4}}{WB}",
-    "rrn": rf"{WB}{D}{{6}}-[1-8]{D}{{6}}{WB}",
-    "card": rf"{WB}{D}{{4}}{_WS}{D}{{4}}{_WS}{D}{{4}}{_WS}{D}{{4}}{WB}",
+    "phone": rf"(?=0){NOT_AFTER_WORD}0{D}{{1,2}}[{BLANKS}.-]{D}{{3,4}}[{BLANKS}.-]{D}{{4}}(?!{W})",
+    "rrn": rf"(?={D}){NOT_AFTER_WORD}{D}{{6}}-[1-8]{D}{{6}}(?!{W})",
+    "card": rf"(?={D}){NOT_AFTER_WORD}{D}{{4}}{_WS}{D}{{4}}{_WS}{D}{{4}}{_WS}{D}{{4}}(?!{W})",
     "secret": rf"(?iu)(?:api[_-]?key|secret|token|password){WS}*[:=]{WS}*{NWS}{{12,}}",
     "url_auth": rf"https?://[^{BLANKS}:/@]+:[^{BLANKS}:/@]+@",
 }

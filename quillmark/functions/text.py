@@ -59,6 +59,20 @@ def count_of(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
+def chars_of(c: Column, cls: str) -> Column:
+    """Characters of a class ``[...]``; what lies between is dropped by runs.
+
+    A text of ASCII alone isn't searched for a class without ASCII characters.
+    """
+    n = F.length(F.regexp_replace(c, f"[^{cls[1:-1]}]+", ""))
+    return n if "A-Z" in cls else F.when(F.octet_length(c) == F.length(c), 0).otherwise(n)
+
+
+def last_line(c: Column) -> Column:
+    """The last of :func:`py_lines`, for a text without a line break at its end."""
+    return F.regexp_replace(c, rf"(?s)\A.*{LT}", "")
+
+
 def contains_any(c: Column, marks) -> Column:
     out = F.lit(False)
     for m in marks:

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.functions import language, links, markdown
-from quillmark.functions.pii import SENSITIVE
-from quillmark.functions.text import BLANKS, NOT_AFTER_WORD, WS, W, contains_any, count_of, py_count, py_lines, py_strip, text_of
+from quillmark.functions.pii import SECRET_WORDS, SENSITIVE
+from quillmark.functions.text import BLANKS, NOT_AFTER_WORD, WS, W, contains_any, count_of, last_line, py_count, py_strip, text_of
 from quillmark.plans.registry import ANSWER, QUERY, RETRIEVED_DOCS, SEARCH_QUERY, Pack, Rule
 
 # Words, marks and tokens of the rules.
@@ -46,7 +46,7 @@ def _error_keyword(c: dict[str, Column]) -> Column:
 
 def _answer_truncated(c: dict[str, Column]) -> Column:
     t = c["text"]
-    last = F.element_at(py_lines(t), -1)
+    last = last_line(t)
     return (
         F.when(t.endswith("...") | t.endswith("…"), True)
         .when(contains_any(c["lower"], CUT_MARKS), True)
@@ -64,7 +64,9 @@ def _sensitive_info(c: dict[str, Column]) -> Column:
     t = c["text"]
     s = SENSITIVE
     numbers = t.rlike(s["phone"]) | t.rlike(s["rrn"]) | t.rlike(s["card"])
-    return (t.contains("@") & (t.rlike(s["email"]) | t.rlike(s["url_auth"]))) | numbers | t.rlike(s["secret"])
+    # the long s is the one letter that matches s without being lower-cased to it
+    secret = contains_any(F.translate(c["lower"], "ſ", "s"), SECRET_WORDS) & t.rlike(s["secret"])
+    return (t.contains("@") & (t.rlike(s["email"]) | t.rlike(s["url_auth"]))) | secret | numbers
 
 
 def _empty_docs(c: dict[str, Column]) -> Column:

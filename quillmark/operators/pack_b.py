@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillmark.functions import language, links, pii
-from quillmark.functions.text import BLANKS, LT, WS, D, blank, contains_any, count_of, let, py_count, py_lines, py_rstrip, py_strip, text_of
+from quillmark.functions.text import BLANKS, LT, WS, D, blank, chars_of, contains_any, last_line, let, py_count, py_lines, py_rstrip, py_strip, text_of
 from quillmark.plans.registry import ANSWER, QUERY, Pack, Rule
 
 QUERY_HEAD = 100
@@ -38,7 +38,7 @@ def truncated(text: Column) -> Column:
     """Whether an answer seems to stop in the middle."""
 
     def of(raw: Column) -> Column:
-        last = let(F.element_at(py_lines(raw), -1), py_strip)
+        last = py_strip(last_line(raw))
         tail = F.regexp_replace(raw, rf"[{escaped(CLOSING)}{BLANKS}]+\z", "")
 
         def end(t: Column) -> Column:
@@ -67,8 +67,8 @@ def mixed(clean: Column, lang: Column, han_share: float = 0.02, han_count: int =
     """Kana or unexplained Han characters in a Korean answer; ``clean`` is without noise."""
 
     def of(t: Column) -> Column:
-        han = count_of(t, language.HAN)
-        letters = count_of(t, language.HANGUL) + han + count_of(t, language.LATIN)
+        han = chars_of(t, language.HAN)
+        letters = chars_of(t, language.HANGUL) + han + chars_of(t, language.LATIN)
         return (han >= han_count) & (letters > 0) & (han > 0) & (han >= han_share * letters)
 
     bare = F.regexp_replace(clean, r"[(（][^)）]{0,20}[)）]", " ")
@@ -120,6 +120,11 @@ def breaks_format(head: Column, text: Column, lines: Column) -> Column:
     return ~blank(head) & ~blank(text) & out
 
 
+def _clean_again(c: dict[str, Column]) -> Column:
+    """The language once noise is stripped twice; a second pass rarely finds more."""
+    return let(language.strip_noise(c["clean"]), lambda x: F.when(x == c["clean"], c["lang"]).otherwise(language.detect_clean(x)))
+
+
 def _prepare(raw: dict[str, Column]) -> list:
     return [
         {"text": text_of(raw[ANSWER]), "head": F.substring(text_of(raw[QUERY]), 1, QUERY_HEAD)},
@@ -132,7 +137,7 @@ def _prepare(raw: dict[str, Column]) -> list:
 RULES = (
     Rule("include_error_keyword", (ANSWER,), lambda c: no_information(c["text"])),
     Rule("truncated_answer", (ANSWER,), lambda c: truncated(c["text"])),
-    Rule("language_mixing", (ANSWER,), lambda c: mixed(c["clean"], language.detect_language(c["clean"]))),
+    Rule("language_mixing", (ANSWER,), lambda c: mixed(c["clean"], _clean_again(c))),
     Rule("format_violation", (QUERY, ANSWER), lambda c: breaks_format(c["head"], c["text"], c["lines"])),
     Rule("contains_pii", (ANSWER,), lambda c: pii.contains_pii(c["text"])),
     Rule("qa_language_mismatch", (QUERY, ANSWER), lambda c: (c["head_lang"] != "unknown") & (c["lang"] != "unknown") & (c["head_lang"] != c["lang"])),

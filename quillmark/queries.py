@@ -19,7 +19,7 @@ from quillmark.functions import language, links, markdown, pii
 from quillmark.functions.text import blank, py_lines, py_strip, tally, text_of
 from quillmark.operators import contract, pack_a, pack_b, tagging
 from quillmark.plans.registry import ANSWER, QUERY, RETRIEVED_DOCS, SEARCH_QUERY
-from quillmark.session import shared_dir
+from quillmark.session import shared_dir, spread
 from quillmark.sources import logs, sinks, synth
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ _COLUMNS = ("id", QUERY, ANSWER, SEARCH_QUERY, RETRIEVED_DOCS)
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and hand-made turns, with a numeric id."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), F.lit(QUESTION).alias(QUERY), F.col("text").alias(ANSWER), F.lit("x").alias(SEARCH_QUERY), F.lit("x").alias(RETRIEVED_DOCS))
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(F.col("doc_id").alias("id"), F.lit(QUESTION).alias(QUERY), F.col("text").alias(ANSWER), F.lit("x").alias(SEARCH_QUERY), F.lit("x").alias(RETRIEVED_DOCS))
     made = spark.createDataFrame([(-i - 1, *t) for i, t in enumerate(TURNS)], ", ".join(["id long", *(f"{c} string" for c in _COLUMNS[1:])]))
     return docs.union(made)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(cores: int | None = None, settings: dict[str, str] | None = None) -> SparkSession:
@@ -36,3 +36,9 @@ def shared_dir(spark: SparkSession) -> str:
     own = "file://" + tempfile.mkdtemp(prefix="quillmark-")
     spark.sparkContext.setCheckpointDir(own)
     return own
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """An input with fewer splits than cores is dealt over all of them; any other is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
