@@ -4,17 +4,17 @@ from __future__ import annotations
 
 #: (question, answer, search query, retrieved documents)
 TURNS: tuple[tuple[str | None, str | None, str | None, str | None], ...] = (
-    ("How do I request a refund?", "The lookup failed on our side.", "refund", "3 docs"),
-    ("How do I request a refund?", "errorless code, buggy tale.", " ", "0건"),
-    ("환불 절차를 알려줘", "error가 났습니다.", "[]", "[]"),
-    ("환불 절차를 알려줘", "조회 중 오류가 생겼습니다.", "없음", "없음"),
-    ("환불 절차를 알려줘", "환불은 order details 화면에서 신청하세요.", None, None),
-    ("환불 절차를 알려줘", "안녕하세요 {{이름}}님, 환불은 사흘 걸립니다.", "N/A", " 0 docs "),
-    ("환불 절차를 알려줘", "주문 [여기에 입력] 항목을 채우세요.", "환불", "No Results"),
+    ("Where can I find my invoice?", "The request failed while we looked it up.", "refund", "3 docs"),
+    ("Where can I find my invoice?", "errorless code, buggy tale.", " ", "0건"),
+    ("주문을 취소하려면 어떻게 하나요", "error가 났습니다.", "[]", "[]"),
+    ("주문을 취소하려면 어떻게 하나요", "조회 중 오류가 생겼습니다.", "없음", "없음"),
+    ("주문을 취소하려면 어떻게 하나요", "주문은 my page 화면에서 취소하세요.", None, None),
+    ("주문을 취소하려면 어떻게 하나요", "{{고객}}님, 주문이 취소되었습니다.", "N/A", " 0 docs "),
+    ("주문을 취소하려면 어떻게 하나요", "주문 [여기에 입력] 항목을 채우세요.", "주문", "No Results"),
     ("q", "Dear <INSERT_NAME>, see [COMPANY NAME] soon.", "x", "000"),
     ("q", "A link [COMPANY NAME](/home) and [1] and - [ ] box.", "-", "{}"),
     ("q", "```\n{{ code }}\n```\nplain.", "a", "1 docs"),
-    ("q", "| 1 | 2 |\n| 3 |", "a", "b"),
+    ("q", "| 10 | 20 |\n| 30 |", "a", "b"),
     ("q", "| a | b |\n|---|---|\n| 1 | 2 |", "a", "b"),
     ("q", "| a | b |\n| 1 | 2 |", "a", "b"),
     ("q", "| a \\| c | b |\n|---|---|\n| 1 | 2 |\n\n| x |\n|---|\n| y |", "a", "b"),
@@ -29,7 +29,7 @@ TURNS: tuple[tuple[str | None, str | None, str | None, str | None], ...] = (
     ("q", "line one\\nline two\\nline three.", "a", "b"),
     ("q", "bad \ufffd sign.", "a", "b"),
     ("q", "bell \x07 rings.", "a", "b"),
-    ("q", "You can reach us at hong@example.com for the details.", "a", "b"),
+    ("q", "Write to jane@shop.example for a copy of it.", "a", "b"),
     ("q", "call 010-1234-5678로 or 02.123.4567 now.", "a", "b"),
     ("q", "id 900101-1234567 and 9001011234567.", "a", "b"),
     ("q", "card 4111-1111-1111-1111 and 4111 1111 1111 1112.", "a", "b"),
@@ -37,7 +37,7 @@ TURNS: tuple[tuple[str | None, str | None, str | None, str | None], ...] = (
     ("q", "passport M12345678 at 192.168.0.1 not 999.1.1.1.", "a", "b"),
     ("q", "api_key = abcdefghijkl123 and https://user:pw@host.com/x", "a", "b"),
     ("q", "+82-10-1234-5678 is mobile.", "a", "b"),
-    ("q", "See the guide at [manual](htp://example) for the details.", "a", "b"),
+    ("q", "The steps are in the [guide](htp://shop) we sent.", "a", "b"),
     ("q", "See [manual](https://ok.com/a) and http://fine.org, too.", "a", "b"),
     ("q", "See [home](/a) or [top](#x) or http://nohost/ now.", "a", "b"),
     ("q", "See [mail](mailto:a@b.c) or [](  ).", "a", "b"),
@@ -81,7 +81,7 @@ TURNS: tuple[tuple[str | None, str | None, str | None, str | None], ...] = (
     ("번호를 매겨줘", "- a\n- b", "a", "b"),
     ("json으로 줘", '```json\n{"a": 1}\n```', "a", "b"),
     ("JSON please", "not at all.", "a", "b"),
-    ("환불 절차를 알려줘", "You can request a refund from the order details page.", "a", "b"),
+    ("주문을 취소하려면 어떻게 하나요", "Your invoice is listed under billing in your account.", "a", "b"),
     ("When will it arrive?", "Bạn có thể yêu cầu hoàn tiền.", "a", "b"),
     ("これは何ですか", "这是一个中文的回答。", "a", "b"),
     ("Привет, как дела?", "مرحبا كيف حالك", "a", "b"),

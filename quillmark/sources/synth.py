@@ -8,27 +8,27 @@ from pyspark.sql import functions as F
 from quillmark.operators.contract import FIELDS
 from quillmark.plans.registry import ANSWER, QUERY
 
-# Clean pairs of question and answer.
+#: Clean pairs of question and answer.
 CLEAN = (
-    ("환불 절차를 알려줘", "주문 상세 화면에서 환불을 신청하실 수 있습니다."),
-    ("배송이 얼마나 걸리나요", "영업일 기준 이틀에서 사흘 정도 걸립니다."),
-    ("비밀번호를 바꾸고 싶어요", "설정 화면의 계정 항목에서 변경하실 수 있습니다."),
-    ("How do I request a refund?", "You can request a refund from the order details page."),
-    ("When will my order arrive?", "Standard delivery takes two to three business days."),
-    ("Can I change my delivery address?", "Yes, you can update it before the order ships."),
+    ("주문을 취소하려면 어떻게 하나요", "주문 목록에서 취소 단추를 누르시면 됩니다."),
+    ("영업시간이 궁금해요", "평일 아침 아홉 시부터 저녁 여섯 시까지 엽니다."),
+    ("회원 탈퇴 방법은 무엇인가요", "내 정보 화면 아래쪽에서 탈퇴를 고르시면 됩니다."),
+    ("Where can I find my invoice?", "Your invoice is listed under billing in your account."),
+    ("Which sizes do you carry?", "The jacket comes in small, medium and large."),
+    ("Is the shop open on Sunday?", "No, the shop opens again on Monday morning."),
 )
-_EN, _KO = "How do I request a refund?", "환불 절차를 알려줘"
+_KO, _EN = CLEAN[0][0], CLEAN[3][0]
 #: Rule, question and answer; None keeps the clean one.
 DEFECTS = (
-    ("error_keyword", _EN, "The lookup failed on our side."),
+    ("error_keyword", _EN, "The request failed while we looked it up."),
     ("answer_truncated", None, None),
-    ("language_mixing", _KO, "환불은 order details 화면에서 신청하세요."),
-    ("format_broken", None, "| 1 | 2 |\n| 3 |"),
-    ("sensitive_info", _EN, "You can reach us at hong@example.com for the details."),
-    ("language_mismatch", _KO, "You can request a refund from the order details page."),
-    ("invalid_link", _EN, "See the guide at [manual](htp://example) for the details."),
+    ("language_mixing", _KO, "주문은 my page 화면에서 취소하세요."),
+    ("format_broken", None, "| 10 | 20 |\n| 30 |"),
+    ("sensitive_info", _EN, "Write to jane@shop.example for a copy of it."),
+    ("language_mismatch", _KO, "Your invoice is listed under billing in your account."),
+    ("invalid_link", _EN, "The steps are in the [guide](htp://shop) we sent."),
     ("model_thinking_stopped", None, ""),
-    ("placeholder_leak", _KO, "안녕하세요 {{이름}}님, 환불은 영업일 기준 사흘 걸립니다."),
+    ("placeholder_leak", _KO, "{{고객}}님, 주문이 취소되었습니다."),
 )
 DEFECT_EVERY = 3
 BLANK_EVERY = 97
@@ -51,20 +51,20 @@ def generate(spark: SparkSession, n: int = 1000, seed: int = 0, mode: str = "nor
         rows = rows.withColumns({"q": F.when(F.col("id") % BLANK_EVERY == 0, "").otherwise(q), "a": a})
     scored = pick("scored", 10) == 0
     micros = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("time")), F.lit(5 * 86400 * 1_000_000))
-    start = F.timestamp_micros(F.unix_micros(F.lit("2026-01-05 09:00:00").cast("timestamp")) + micros)
+    start = F.timestamp_micros(F.unix_micros(F.lit("2025-03-03 08:00:00").cast("timestamp")) + micros)
     end = F.timestamp_micros(F.unix_micros(start) + 500_000 + pick("wait", 29_500_000))
     number = lambda form, m=None: F.format_string(form, F.col("n") % m if m else F.col("n"))
     yes = lambda m: F.when(F.col("n") % m != 0, "true").otherwise("false")
     made: dict[str, Column] = {
         QUERY: F.col("q"),
         ANSWER: F.col("a"),
-        "log_table": F.lit("chat_log"),
+        "log_table": F.lit("turns"),
         "db_route_result": F.lit("routed"),
-        "assist_name": F.lit("assistant-a"),
-        "model_name": F.lit("model-a"),
-        "prompt_template_name": F.lit("template-a"),
+        "assist_name": F.lit("helper-1"),
+        "model_name": F.lit("model-1"),
+        "prompt_template_name": F.lit("template-1"),
         "user_type": F.lit("internal"),
-        "db_position_name": number("position-%d", 7),
+        "db_position_name": number("post-%d", 7),
         "db_id": number("db-%05d"),
         "user_name": number("user-%05d"),
         "user_id": number("u%05d"),
