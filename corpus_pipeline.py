@@ -62,7 +62,7 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN).drop("text"), path)
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN, bytes_col="decoded")
     return coded.select("doc_id", "lang", "source", "ids", *bpe.digests(coded))
 
 

@@ -17,7 +17,10 @@ Bytes that aren't UTF-8 are read as U+FFFD. Other columns pass through.
 from __future__ import annotations
 
 import base64
+import contextlib
+import gc
 import hashlib
+import threading
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,7 +34,7 @@ from pyspark.sql import types as T
 from quillmark.llm import kernel
 from quillmark.llm.storage import ship
 
-_CACHE = 120_000
+_CACHE = 80_000
 #: A vocabulary is sent to all tasks; larger files are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -195,14 +198,37 @@ class Encoder:
 
 
 _encoders: dict[tuple[bytes, str], Encoder] = {}
+_lock = threading.Lock()
+_tasks = 0
+_IDLE_S = 1.5
 
 
-def _encoder(body: bytes, pattern: str) -> Encoder:
+def _release(at: int) -> None:
+    """Frees the caches of a worker that no task has used since task number ``at``: idle workers live on for a while."""
+    with _lock:
+        if at == _tasks:
+            _encoders.clear()
+            gc.collect()
+
+
+@contextlib.contextmanager
+def _encoder(body: bytes, pattern: str) -> Iterator[Encoder]:
+    """The worker's encoder, warm from its last task if that has just ended."""
+    global _tasks
     key = (hashlib.sha256(body).digest(), pattern)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(Vocabulary(body), pattern)
-    return _encoders[key]
+    with _lock:
+        _tasks += 1
+        mine = _tasks
+        encoder = _encoders.get(key)
+        if encoder is None:
+            _encoders.clear()
+            encoder = _encoders[key] = Encoder(Vocabulary(body), pattern)
+    try:
+        yield encoder
+    finally:
+        timer = threading.Timer(_IDLE_S, _release, (mine,))
+        timer.daemon = True
+        timer.start()
 
 
 def _vocabulary_bytes(path: str) -> bytes:
@@ -213,24 +239,54 @@ def _vocabulary_bytes(path: str) -> bytes:
     return body
 
 
-def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``df`` with the token ids of ``text_col`` in ``ids_col``. ``vocabulary`` is a file the driver can read."""
+class _Decoder:
+    """Bytes of the tokens, one after another."""
+
+    def __init__(self, body: bytes) -> None:
+        pairs = sorted((int(b), base64.b64decode(a)) for a, b in (x.split() for x in body.splitlines() if x.strip()))
+        self.table = np.frombuffer(b"".join(t for _, t in pairs), dtype=np.uint8)
+        self.begin = np.zeros(pairs[-1][0] + 1, dtype=np.int64)
+        self.size = np.full(pairs[-1][0] + 1, -1, dtype=np.int64)
+        held, known = np.array([len(t) for _, t in pairs], dtype=np.int64), np.array([r for r, _ in pairs])
+        self.size[known], self.begin[known] = held, np.cumsum(held) - held
+
+    def column(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """A binary column from ids and the offsets of its rows."""
+        ids = ids.astype(np.int64)
+        sizes = self.size[ids]
+        if (sizes < 0).any():
+            raise ValueError("an id isn't in the vocabulary")
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        flat = self.table[np.repeat(self.begin[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[offsets].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+
+
+def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str | None = None) -> DataFrame:
+    """``df`` with the token ids of ``text_col`` in ``ids_col``. ``vocabulary`` is a file the driver can read.
+
+    With ``bytes_col`` the ids are decoded again in the same pass, into that column.
+    """
     spark = df.sparkSession
     ship(spark)
     body = spark.sparkContext.broadcast(_vocabulary_bytes(vocabulary))
-    rest = [c for c in df.columns if c != ids_col]
+    rest = [c for c in df.columns if c not in (ids_col, bytes_col)]
     frame = df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`").cast("binary").alias("__t"))
-    schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))])
-    at = len(rest)
+    made = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False)), *([T.StructField(bytes_col, T.BinaryType())] if bytes_col else [])]
+    schema = T.StructType([*[df.schema[c] for c in rest], *made])
+    at, names = len(rest), schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(body.value, pattern)
-        for batch in kernel.slices(batches, at, 1 << 20):
-            ids = [encoder.encode((t or b"").decode("utf-8", "replace")) for t in batch.column(at).to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
-            column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], column], [*rest, ids_col])
+        decoder = _Decoder(body.value) if bytes_col else None
+        with _encoder(body.value, pattern) as encoder:
+            for batch in kernel.slices(batches, at, 1 << 20):
+                ids = [encoder.encode((t or b"").decode("utf-8", "replace")) for t in batch.column(at).to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
+                columns = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))]
+                if decoder:
+                    columns.append(decoder.column(flat, ends))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], *columns], names)
 
     return frame.mapInArrow(run, schema)
 
@@ -245,13 +301,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
     schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(bytes_col, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = sorted((int(b), base64.b64decode(a)) for a, b in (x.split() for x in body.value.splitlines() if x.strip()))
-        table = np.frombuffer(b"".join(t for _, t in pairs), dtype=np.uint8)
-        begin = np.zeros(pairs[-1][0] + 1, dtype=np.int64)
-        size = np.full(pairs[-1][0] + 1, -1, dtype=np.int64)
-        held = np.array([len(t) for _, t in pairs], dtype=np.int64)
-        known = np.array([r for r, _ in pairs])
-        size[known], begin[known] = held, np.cumsum(held) - held
+        decoder = _Decoder(body.value)
         for whole in batches:
             for low in range(0, whole.num_rows, 64):
                 batch = whole.slice(low, 64)
@@ -259,15 +309,8 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
                 if lists.null_count:
                     lists = lists.fill_null([])
                 offsets = lists.offsets.to_numpy().astype(np.int64)
-                ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
-                sizes = size[ids]
-                if (sizes < 0).any():
-                    raise ValueError("an id isn't in the vocabulary")
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                flat = table[np.repeat(begin[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
-                bounds = ends[offsets - offsets[0]].astype(np.int32)
-                column = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
-                yield pa.RecordBatch.from_arrays([*batch.columns, column], [*rest, bytes_col])
+                ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+                yield pa.RecordBatch.from_arrays([*batch.columns, decoder.column(ids, offsets - offsets[0])], [*rest, bytes_col])
 
     return df.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
 
@@ -286,5 +329,5 @@ def op10(spark, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = decode(encode(docs, path, public_tokenizers.PATTERN).drop("text"), path)
+    coded = encode(docs, path, public_tokenizers.PATTERN, bytes_col="decoded")
     return coded.select("doc_id", *digests(coded))

@@ -120,7 +120,7 @@ def rules(
     hits = hits.groupBy("id", "t").agg(F.sum("n").alias("n_common_words")).select(F.col("id").alias("__id"), F.col("t").alias("__t"), "n_common_words")
     base = base_rules(docs, text_col)
     own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    out = base.withColumn("__own", own).join(hits, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__t")), "left")
+    out = base.withColumn("__own", own).join(hits.hint("shuffle_hash"), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__t")), "left")
     out = out.drop("__id", "__t", "__own").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0)).cast("long"))
     rest = F.col("n_words") - F.col("n_common_words")
     depleted = (rest < min_words) | (rest < min_share * F.col("n_words"))

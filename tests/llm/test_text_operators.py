@@ -249,7 +249,8 @@ def test_bpe_columns(spark, reference):
     df = edge(spark).union(table(spark, [passage(30, 1), "  two  blanks \n\n x\n", "<|endoftext|> naïve 漢字 🙂 'tis"])).withColumn("t", F.lit(1)).withColumn("decoded", F.lit("clash")).withColumn("ids", F.lit(0))
     coded = bpe.decode(bpe.encode(df, PATH, P.PATTERN), PATH)
     assert set(coded.columns) == set(df.columns)
-    for r in coded.select("text", "ids", "decoded", *bpe.digests(coded)).collect():
+    at_once = bpe.encode(df, PATH, P.PATTERN, bytes_col="decoded")
+    for r in [x for c in (coded, at_once) for x in c.select("text", "ids", "decoded", *bpe.digests(c)).collect()]:
         t = r.text or ""
         ids = reference.encode_ordinary(t)
         assert r.ids == ids and bytes(r.decoded) == t.encode() and r.n_tokens == len(ids)
