@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from quillmark.llm import kernel
 from quillmark.llm.storage import ship
 
-_CACHE = 80_000
+_CACHE = 120_000
 #: A vocabulary is sent to all tasks; larger files are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 
