@@ -5,7 +5,8 @@ a key that very many documents share is spread over several tasks, and each task
 reads its rows in order and keeps a few of them. A row is linked with one row of
 another document under its key: with the last one of the document before, or
 with the first one under the key. What lies at the ends of the ranges is linked
-in a second step over a few rows for each range.
+in a second step over a few rows for each range; where ranges cut a key, links
+to the first row of a range then go to the first one under the whole key.
 """
 
 from __future__ import annotations
@@ -124,6 +125,14 @@ def links(rows: DataFrame, scratch: Scratch, to_first: bool) -> DataFrame:
     found = scratch.table(found, "links")
     scratch.drop("rows")
     ends = found.where("edge = 1").select("key", "ord", F.col("a").alias("id"), F.col("a_pos").alias("pos"), F.col("a_ext").alias("ext")).distinct()
+    if to_first:
+        ends = scratch.table(ends, "ends")
+        # two keys for each range at most: those that may go on in the next one
+        first = ends.groupBy("key").agg(F.min(F.struct("id", "pos", "ext")).alias("first"))
+        moved = F.col("first").isNotNull() & (F.col("a") != F.col("first.id"))
+        to = [F.when(moved, F.col(f"first.{x}")).otherwise(F.col(b)).alias(b) for x, b in (("id", "b"), ("pos", "b_pos"), ("ext", "b_ext"))]
+        names = found.columns
+        found = found.where("edge = 0").join(F.broadcast(first), "key", "left").select("edge", "key", "ord", "a", "a_pos", "a_ext", *to).select(*names)
     ends = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(_link(to_first), _LINKS)
     return found.union(ends).where("edge = 0").drop("edge", "key", "ord")
 

@@ -114,6 +114,20 @@ def test_each_shared_key_gives_a_link(spark, monkeypatch, step, to_first):
         assert found == want
 
 
+def test_one_hot_passage_over_many_ranges(spark):
+    """Every document is linked with the first one, wherever the ranges cut the passage's keys."""
+    hot = passage(50, 1)
+    docs = [(i, f"{passage(6, 1000 + i)} {hot} {passage(6, 2000 + i)}") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        got = {r.doc_id: r.other_id for r in substring_dedup.near_passages(df).collect() if r.doc_id}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == {i: 0 for i in range(1, 400)}
+
+
 # --- op 8 ---------------------------------------------------------------------------------------------------------
 
 
