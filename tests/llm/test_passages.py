@@ -63,6 +63,50 @@ def test_near_passages(spark, mixed):
     assert all(r.similarity >= 0.8 and r.n_words >= 50 for r in rows)
 
 
+def test_an_edit_at_every_word(spark):
+    """Passages alike by the definition are found wherever they differ; 16 functions, so that none is missed by chance."""
+    docs, want = [], set()
+    for n in (50, 60):
+        for k in range(n):
+            w = passage(n, 100 * n + k).split()
+            v = [*w[:k], "edited", *w[k + 1 :]]
+            a, b = ({tuple(x[i : i + 5]) for i in range(n - 4)} for x in (w, v))
+            i = 1000 * n + 2 * k
+            docs += [(i, f"{passage(20, i)} {' '.join(w)} {passage(9, i + 1)}"), (i + 1, f"{passage(9, i + 2)} {' '.join(v)} {passage(20, i + 3)}")]
+            if len(a & b) >= 0.8 * len(a | b):
+                want |= {i, i + 1}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = substring_dedup.near_passages(df, functions=16).collect()
+    assert want <= {r.doc_id for r in rows} and len(want) == 220
+    assert all(r.similarity >= 0.8 and r.n_words >= 50 and r.doc_id ^ 1 == r.other_id for r in rows)
+
+
+def test_alike_against_brute_force():
+    r = random.Random(3)
+    numbers = lambda n: [r.randrange(10**9) for _ in range(n)]
+    tokens = lambda w: np.array([hash(tuple(w[i : i + 5])) & (1 << 63) - 1 for i in range(len(w) - 4)], dtype=np.uint64)
+
+    def stretches(x):
+        return [set(x[s:e].tolist()) for s in range(len(x)) for e in range(s + 46, len(x) + 1)]
+
+    both = 0
+    for _ in range(40):
+        w = numbers(r.randrange(50, 55))
+        v = list(w)
+        for _ in range(r.randrange(1, 3)):
+            k, how = r.randrange(len(v)), r.randrange(3)
+            v[k : k + (how != 1)] = [-1 - r.randrange(99)] if how != 2 else []
+        p, q = tokens(numbers(1) + w), tokens(v + numbers(1))
+        want = any(len(a & b) >= 0.8 * len(a | b) for a in stretches(p) for b in stretches(q))
+        assert bool(substring_dedup.alike(p, q, 46, 0.8)) == want
+        both += want
+    assert 5 < both < 40
+    # the longest match of the other text is not always the one alike
+    w = numbers(60)
+    p, q = tokens(w), tokens(numbers(9) + w[:52] + numbers(80) + w[:28] + [-1] + w[29:] + numbers(9))
+    assert [(s, e, j > 0.8) for s, e, _, _, j in substring_dedup.alike(p, q, 46, 0.8)] == [(0, 56, True)]
+
+
 def test_compact_windows_against_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(100):
