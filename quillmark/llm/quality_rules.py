@@ -1,9 +1,8 @@
 """Quality rules: word and line statistics of a text, and lines common to a host.
 
 Line frequency: a line is normalised (lower case, runs of blanks to one space)
-and hashed. Per host the distinct documents with that hash are counted; copies
-of one document count once, as documents are told apart by the least hash among
-their other lines, which an edit elsewhere leaves alone. Lines in more than
+and hashed. Per host the distinct documents with that hash are counted, told
+apart by a digest of the whole text, so exact copies count once. Lines in more than
 ``max_documents`` are removed, and a document of which fewer than ``min_words``
 words or less than ``min_share`` of its words remain is rejected.
 
@@ -84,7 +83,7 @@ def base_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _line_table(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """(id, digest of the text, host, least hash of the other lines, line number, line hash, words) for each line with a word."""
+    """(id, digest of the text, host, line number, line hash, words) for each line with a word."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
 
     def row(line: Column, i: Column) -> Column:
@@ -94,11 +93,7 @@ def _line_table(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
 
     rows = F.filter(F.transform(F.split(text, "\n"), row), lambda x: x["on"])
     out = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("t"), F.col(f"`{host_col}`").alias("host"), rows.alias("rows"))
-    hashes = F.sort_array(F.array_distinct(F.transform("rows", lambda x: x["h"])))
-    out = out.select("id", "t", "host", F.slice(hashes, 1, 2).alias("least"), F.explode("rows").alias("x"))
-    first, second = F.get("least", F.lit(0)), F.get("least", F.lit(1))
-    sketch = F.when(F.col("x.h") == first, F.coalesce(second, first)).otherwise(first)
-    return out.select("id", "t", "host", sketch.alias("sketch"), "x.i", "x.h", "x.n")
+    return out.select("id", "t", "host", F.explode("rows").alias("x")).select("id", "t", "host", "x.i", "x.h", "x.n")
 
 
 def rules(
@@ -113,7 +108,7 @@ def rules(
     """``docs`` with the columns of :func:`base_rules`, n_common_words (in lines above the limit) and kept."""
     # both uses read the same small table, so texts are parted into lines once
     lines = Scratch(docs.sparkSession, "lines").table(_line_table(docs, id_col, text_col, host_col), "lines")
-    common = lines.groupBy("host", "h").agg(F.countDistinct("sketch").alias("docs")).where(F.col("docs") > max_documents)
+    common = lines.groupBy("host", "h").agg(F.countDistinct("t").alias("docs")).where(F.col("docs") > max_documents)
     common = common.select(F.col("host").alias("host2"), F.col("h").alias("h2"))
     hits = lines.join(common, F.col("host").eqNullSafe(F.col("host2")) & (F.col("h") == F.col("h2")))
     hits = hits.groupBy("id", "t", "i").agg(F.max("n").alias("n"))

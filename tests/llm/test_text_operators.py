@@ -191,6 +191,15 @@ def test_common_lines_deplete(spark):
     assert all(got[1000 + i].kept for i in range(400))  # copies of one document don't make its lines common
 
 
+def test_lines_of_documents_that_recombine_a_pool(spark):
+    """Documents that share their lines with each other are still distinct documents."""
+    pool = [passage(12, 50 + k) for k in range(20)]
+    r = random.Random(6)
+    rows = [(i, "\n".join(r.sample(pool, 10)), "en", "a", 1) for i in range(400)]
+    got = quality_rules.rules(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(x.n_common_words == 120 and not x.kept for x in got)
+
+
 # --- op 2 ---------------------------------------------------------------------------------------------------------
 
 
