@@ -32,15 +32,19 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: that with the least id."""
-    classes = simhash.near_duplicates(docs.select("doc_id", "text"))
-    stays = classes.where("doc_id <=> component_id").groupBy("doc_id").count()
-    stays = Scratch(spark, "stays").table(stays.select(F.col("doc_id").alias("__id"), F.col("count").alias("__n")), "ids")
-    out = docs.join(stays.hint("shuffle_hash"), docs.doc_id.eqNullSafe(stays["__id"]))
+    """One document of each SimHash group stays: that with the least id, or if none has an id, with the least digest."""
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    row = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), own.alias("t"))  # a null id comes last
+    classes = simhash.near_duplicates(docs.select(row.alias("row"), "text"), "row")
+    stays = classes.where("row = component_id").select("row.i", "row.t")
+    # rows repeated under one id are one document; among rows without an id, each text is one
+    stays = stays.groupBy("i", F.when(F.col("i").isNull(), F.col("t")).alias("g")).agg(F.min("t").alias("t"), F.count("*").alias("n"))
+    stays = Scratch(spark, "stays").table(stays.select(F.col("i").alias("__id"), F.col("t").alias("__t"), F.col("n").alias("__n")), "ids")
+    out = docs.withColumn("__own", own)
+    out = out.join(stays.hint("shuffle_hash"), out.doc_id.eqNullSafe(stays["__id"]) & (out["__own"] == stays["__t"]))
     once = out.where("`__n` = 1").select(*[f"`{c}`" for c in docs.columns])
     if not stays.where("`__n` > 1").limit(1).count():
         return once
-    # rows repeated under one id are one document; among rows without an id, each text is one
     again = out.where("`__n` > 1").select(*[f"`{c}`" for c in docs.columns])
     first = F.row_number().over(_per_document(docs))
     return once.union(again.withColumn("__first", first).where("`__first` = 1").drop("__first"))

@@ -169,9 +169,14 @@ def contained_items(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those that hold an item."""
-    leaks = contained_items(docs, items, id_col, **options).select(F.col(id_col).alias("__leak")).distinct()
-    return docs.join(leaks.hint("shuffle_hash"), docs[id_col].eqNullSafe(leaks["__leak"]), "left_anti")
+    """``docs`` without those that hold an item; each row goes by its own text, whatever others have its id."""
+    text_col = options.get("text_col", "text")
+    own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("i"), own.alias("t")).alias("__row"), F.col(f"`{text_col}`"))
+    leaks = contained_items(rows, items, "__row", **options).select(F.col("__row.i").alias("__i"), F.col("__row.t").alias("__t")).distinct()
+    out = docs.withColumn("__own", own)
+    out = out.join(leaks.hint("shuffle_hash"), out[id_col].eqNullSafe(leaks["__i"]) & (out["__own"] == leaks["__t"]), "left_anti")
+    return out.drop("__own")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -255,3 +255,12 @@ def test_near_stage_with_repeated_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.lit(1))
     got = sorted((r.doc_id or 0, r.text) for r in pipeline.near_stage(spark, df, "").collect())
     assert [i for i, _ in got] == [0, 1, 3] and got[0][1] == passage(40, 2)
+
+
+def test_near_stage_decides_each_row_without_an_id(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    # copies of documents with an id go, one of each group of rows without an id stays
+    rows = [(1, passage(40, 1)), (None, passage(40, 1)), (None, passage(40, 2)), (None, passage(40, 2).upper()), (None, passage(40, 5)), (4, passage(40, 1)), (4, passage(40, 6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text.lower()) for r in pipeline.near_stage(spark, df, "").collect())
+    assert got == sorted([(0, passage(40, 2)), (0, passage(40, 5)), (1, passage(40, 1)), (4, passage(40, 6))])

@@ -240,6 +240,14 @@ def test_decontaminate_keeps_the_rest(spark):
     assert decontaminate.decontaminate(df, spark.createDataFrame([], "item_id long, text string")).count() == df.count()
 
 
+def test_leaks_go_by_row_not_by_id(spark):
+    item = passage(30, 1)
+    rows = [(None, f"a {item}"), (None, passage(40, 2)), (None, None), (7, f"b {item}"), (7, passage(40, 3))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontaminate.decontaminate(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == df.columns and sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [rows[1], rows[2], rows[4]]))
+
+
 # --- op 10 --------------------------------------------------------------------------------------------------------
 
 P = pytest.importorskip("public_tokenizers")
