@@ -5,14 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmark.functions.text import BLANKS, NWS, WB, blank, contains_any, let, py_strip
+from quillmark.functions.text import BLANKS, NWS, WB, blank, let, py_strip
 
+# Links of Markdown, bare addresses of pack B, and marks of placeholders in addresses.
 _MARKDOWN = r"\[[^\]]*\]\(([^)]*)\)"
-
-# Marks of placeholders in addresses.
+_BARE_B = rf"(?iu)(?<![(\]]){WB}(?:https?://|www\.)[^{BLANKS}<>\"'`)\]]+"
 PLACEHOLDER_HOSTS = ("example.com", "example.org", "example.net", "yourdomain", "localhost", "127.0.0.1", "test.com", "abc.com", "url.com")
 PLACEHOLDER_MARKS = ("<", ">", "{", "}", "링크", "url_here", "insert", "your-", "xxx")
-_BARE_B = rf"(?iu)(?<![(\]]){WB}(?:https?://|www\.)[^{BLANKS}<>\"'`)\]]+"
+
+# What makes an address of pack B invalid, by the whole address or by its host, in lower case.
+TYPO = r"^(?:htt?ps?:/(?!/)|htt?ps?//|ht+ps?:)"
+TYPO_STRICT = r"^(?:htt?ps?:/(?!/)|htt?ps?//|(?!https?:)ht+ps?:)"
+BAD_ADDRESS = {
+    "placeholder": "|".join(rf"\Q{mark}\E" for mark in (*PLACEHOLDER_MARKS, *PLACEHOLDER_HOSTS)),
+    "no address": r"^(?!https?://|www\.|/)",
+    "blank inside": " ",
+    "no host at all": r"^www\./*\z",
+}
+BAD_HOST = {"empty": r"\A\z", "dot at an end": r"\A\.|\.\z", "two dots": r"\.\."}
+DOMAIN = r"(?iu)\.[a-z]{2,24}(?:(?=\n?\z)|[/:?#])"
 
 
 def _all(c: Column, pattern: str, group: int) -> Column:
@@ -33,28 +44,13 @@ def invalid_link_a(text: Column) -> Column:
 
 def invalid_url(url: Column, strict_scheme_fix: bool = False) -> Column:
     """Pack B. The rule for misspelt schemes also takes every right one; ``strict_scheme_fix`` leaves those alone."""
+    address = "|".join([*BAD_ADDRESS.values(), TYPO_STRICT if strict_scheme_fix else TYPO])
+
+    def of(low: Column) -> Column:
+        host = F.regexp_extract(low, "^(?:https?://)?([^/?#]*)", 1)
+        return (low == "") | low.rlike(address) | host.rlike("|".join(BAD_HOST.values())) | ~F.concat(host, F.lit("/")).rlike(DOMAIN)
 
-    def decide(u: Column) -> Column:
-        def low(x: Column) -> Column:
-            host = F.get(F.split(F.regexp_replace(x, "^https?://", ""), "[/?#]", -1), F.lit(0))
-            typo = r"^(?:htt?ps?:/(?!/)|htt?ps?//|ht+ps?:)" if not strict_scheme_fix else r"^(?:htt?ps?:/(?!/)|htt?ps?//|(?!https?:)ht+ps?:)"
-            return (
-                contains_any(x, PLACEHOLDER_MARKS)
-                | contains_any(x, PLACEHOLDER_HOSTS)
-                | ~x.rlike(r"^(?:https?://|www\.|/)")
-                | x.rlike(typo)
-                | (host == "")
-                | x.contains(" ")
-                | ~F.concat(host, F.lit("/")).rlike(r"(?iu)\.[a-z]{2,24}(?:(?=\n?\z)|[/:?#])")
-                | host.startswith(".")
-                | host.endswith(".")
-                | host.contains("..")
-                | F.regexp_replace(x, r"/+\z", "").isin("http://", "https://", "www.")
-            )
-
-        return (u == "") | let(F.lower(u), low)
-
-    return let(py_strip(url), decide)
+    return let(F.lower(py_strip(url)), of)
 
 
 def invalid_link_b(text: Column, strict_scheme_fix: bool = False) -> Column:

@@ -12,17 +12,34 @@ _INLINE = r"`[^`\n]*`"
 DELIMITER = rf"^{WS}*\|?[{BLANKS}:|-]*-[{BLANKS}:|-]*\|?{WS}*$"
 
 
+def _outside_fences(lines: Column) -> Column:
+    """Lines with those of code blocks emptied: what lies between fences is taken in slices, so the work is linear in the lines."""
+
+    def cut(ls: Column) -> Column:
+        at = F.filter(F.transform(ls, lambda x, i: F.when(x.rlike(_FENCE), i)), lambda i: i.isNotNull())
+
+        def pieces(fences: Column) -> Column:
+            n = F.size(ls)
+
+            def piece(k: Column) -> Column:
+                begin = F.coalesce(F.get(fences, 2 * k - 1) + 1, F.lit(0))
+                end = F.coalesce(F.get(fences, 2 * k), n)
+                closed = F.coalesce(F.get(fences, 2 * k + 1) + 1, n)
+                prose = F.transform(F.slice(ls, begin + 1, end - begin), lambda x: F.regexp_replace(x, _INLINE, ""))
+                return F.concat(prose, F.array_repeat(F.lit(""), closed - end))
+
+            # with an even number of fences the last piece follows the last of them
+            return F.flatten(F.transform(F.sequence(F.lit(0), F.floor(F.size(fences) / 2).cast("int")), piece))
+
+        return let(at, pieces)
+
+    return let(lines, cut)
+
+
 def prose_of(c: Column) -> Column:
     """The text with code blanked out, line by line; an unclosed fence runs to the end."""
     plain = F.array_join(py_lines(c), "\n")
-    start = F.struct(F.lit(False).alias("code"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, line: Column) -> Column:
-        fence = line.rlike(_FENCE)
-        kept = F.when(fence | s["code"], F.lit("")).otherwise(F.regexp_replace(line, _INLINE, ""))
-        return F.struct((s["code"] != fence).alias("code"), F.concat(s["out"], F.array(kept)).alias("out"))
-
-    fenced = F.array_join(F.aggregate(py_lines(c), start, step, lambda s: s["out"]), "\n")
+    fenced = F.array_join(_outside_fences(py_lines(c)), "\n")
     return F.when(c.contains("```"), fenced).when(c.contains("`"), F.regexp_replace(plain, _INLINE, "")).otherwise(plain)
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANKS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: The same characters, one by one.
+BLANK_CHARS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 WS = f"[{BLANKS}]"
 NWS = f"[^{BLANKS}]"
 LT = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}])"
@@ -38,12 +40,18 @@ def text_of(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def _blank_at(c: Column, last: bool) -> Column:
+    """Whether the first or last character is a blank."""
+    return (F.right(c, F.lit(1)) if last else F.substring(c, 1, 1)).isin(*BLANK_CHARS)
+
+
 def py_strip(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, f"^{WS}+", ""), rf"{WS}+\z", "")
+    """Linear in the text, and only a look at both ends where there is nothing to strip."""
+    return F.when(_blank_at(c, False) | _blank_at(c, True), F.btrim(c, F.lit(BLANK_CHARS))).otherwise(c)
 
 
 def py_rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{WS}+\z", "")
+    return F.when(_blank_at(c, True), F.rtrim(c, F.lit(BLANK_CHARS))).otherwise(c)
 
 
 def py_lines(c: Column) -> Column:

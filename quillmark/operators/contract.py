@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.functions.text import WS, D, py_strip
@@ -25,18 +25,45 @@ class FieldSpec:
     used: bool = False
 
 
-def _others() -> list[FieldSpec]:
-    # The declared columns that no rule reads, with the kinds that aren't text.
-    names = """log_table db_route_result assist_name model_name prompt_template_name
-        db_dept_name db_position_name db_id dept_div_name div_name dept_name user_name user_id user_type job_grade job
-        chat_id input_msg_id turn_start_week turn_start_weekday turn_start_date input_msg_start_time output_msg_end_time
-        rag_yn rag_decide_yn input_msg_type input_msg_sub_type output_msg_type output_msg_sub_type
-        feedback_type feedback_score feedback_category feedback_content feedback_detail_content""".split()
-    kinds = {"turn_start_date": "datetime", "input_msg_start_time": "datetime", "output_msg_end_time": "datetime", "rag_yn": "category", "rag_decide_yn": "category", "feedback_score": "int"}
-    return [FieldSpec(n, kinds.get(n, "str"), allowed=("true", "false") if kinds.get(n) == "category" else None) for n in names]
-
-
-FIELDS: tuple[FieldSpec, ...] = (FieldSpec(QUERY, nullable=False, used=True), FieldSpec(ANSWER, used=True), *_others())
+# The declared columns, their kinds, and which of them rules read.
+FIELDS: tuple[FieldSpec, ...] = (
+    FieldSpec(QUERY, nullable=False, used=True),
+    FieldSpec(ANSWER, used=True),
+    FieldSpec("log_table"),
+    FieldSpec("db_route_result"),
+    FieldSpec("assist_name"),
+    FieldSpec("model_name"),
+    FieldSpec("prompt_template_name"),
+    FieldSpec("db_dept_name"),
+    FieldSpec("db_position_name"),
+    FieldSpec("db_id"),
+    FieldSpec("dept_div_name"),
+    FieldSpec("div_name"),
+    FieldSpec("dept_name"),
+    FieldSpec("user_name"),
+    FieldSpec("user_id"),
+    FieldSpec("user_type"),
+    FieldSpec("job_grade"),
+    FieldSpec("job"),
+    FieldSpec("chat_id"),
+    FieldSpec("input_msg_id"),
+    FieldSpec("turn_start_week"),
+    FieldSpec("turn_start_weekday"),
+    FieldSpec("turn_start_date", "datetime"),
+    FieldSpec("input_msg_start_time", "datetime"),
+    FieldSpec("output_msg_end_time", "datetime"),
+    FieldSpec("rag_yn", "category", allowed=("true", "false")),
+    FieldSpec("rag_decide_yn", "category", allowed=("true", "false")),
+    FieldSpec("input_msg_type"),
+    FieldSpec("input_msg_sub_type"),
+    FieldSpec("output_msg_type"),
+    FieldSpec("output_msg_sub_type"),
+    FieldSpec("feedback_type"),
+    FieldSpec("feedback_score", "int"),
+    FieldSpec("feedback_category"),
+    FieldSpec("feedback_content"),
+    FieldSpec("feedback_detail_content"),
+)
 
 
 def is_null(c: Column) -> Column:
@@ -96,6 +123,21 @@ def parse(c: Column, dtype: str) -> Column:
     return readers.get(dtype, lambda x: x)(c.cast("string"))
 
 
+def _is_odd(f: FieldSpec) -> Column:
+    c = F.col(f"`{f.name}`")
+    return ~is_null(c) & ~c.cast("string").isin(*f.allowed)
+
+
+def _unexpected(df: DataFrame, fields: list[FieldSpec]) -> dict[str, tuple[int, list[str]]]:
+    """How many distinct unexpected values each field has, and the first five of them. Values meet by (field, value), never as one set."""
+    cells = F.array(*[F.struct(F.lit(f.name).alias("field"), F.when(_is_odd(f), F.col(f"`{f.name}`").cast("string")).alias("value")) for f in fields])
+    values = df.select(F.explode(cells).alias("x")).where("x.value is not null").select("x.field", "x.value").distinct()
+    first = values.withColumn("k", F.row_number().over(Window.partitionBy("field").orderBy("value"))).where("k <= 5")
+    first = first.groupBy("field").agg(F.sort_array(F.collect_list("value")).alias("first"))
+    rows = values.groupBy("field").agg(F.count("*").alias("n")).join(first, "field").collect()  # one row for each field
+    return {r.field: (r.n, r.first) for r in rows}
+
+
 def _counters(f: FieldSpec) -> dict[str, Column]:
     c = F.col(f"`{f.name}`")
     null, value = is_null(c), parse(c, f.dtype)
@@ -103,7 +145,7 @@ def _counters(f: FieldSpec) -> dict[str, Column]:
     if f.dtype in ("int", "float", "datetime"):
         out["bad"] = F.count_if(~null & value.isNull())
     if f.allowed is not None:
-        out["odd"] = F.collect_set(F.when(~null & ~c.isin(*f.allowed), c))
+        out["odd"] = F.count_if(_is_odd(f))
     if f.bounds is not None:
         low, high = f.bounds
         out["outside"] = F.count_if(~null & value.isNotNull() & ~value.between(low, high))
@@ -113,20 +155,19 @@ def _counters(f: FieldSpec) -> dict[str, Column]:
 def findings(df: DataFrame, fields: tuple[FieldSpec, ...] = FIELDS) -> DataFrame:
     """(seq, severity, field, kind, n, detail): what the contract finds, in order. One scan, one aggregate row.
 
-    Unexpected values are gathered as a set of a declared category; a column
-    that isn't one shows up there as a long set, so its first five are kept in
-    ``detail`` and only the number of the others.
+    Where a field has unexpected values, a second scan counts the distinct ones
+    and takes the first five of them for ``detail``.
     """
     spark = df.sparkSession
     here = [f for f in fields if f.name in df.columns]
     columns = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(here):
         for k, value in _counters(f).items():
-            if k == "odd":
-                value = F.struct(F.size(value).alias("n"), F.slice(F.sort_array(value), 1, 5).alias("first"))
             columns.append(value.alias(f"{k}_{i}"))
     row = df.agg(*columns).first()
     out: list[tuple] = []
+    odd = [f for i, f in enumerate(here) if f.allowed is not None and row[f"odd_{i}"]]
+    unexpected = _unexpected(df, odd) if odd else {}
 
     def add(f: FieldSpec, kind: str, n: int, detail: str) -> None:
         out.append((len(out), "violation" if f.used else "note", f.name, kind, n, detail))
@@ -143,10 +184,9 @@ def findings(df: DataFrame, fields: tuple[FieldSpec, ...] = FIELDS) -> DataFrame
             add(f, "nulls", got[f"nulls_{i}"], f"{got[f'nulls_{i}']:,} nulls but nullable=False")
         if got.get(f"bad_{i}"):
             add(f, "dtype", got[f"bad_{i}"], f"dtype {f.dtype} expected, {got[f'bad_{i}']:,} rows failed to parse")
-        odd = got.get(f"odd_{i}")
-        if odd and odd["n"]:
-            more = f" (+{odd['n'] - 5} more)" if odd["n"] > 5 else ""
-            add(f, "allowed", odd["n"], f"unexpected values {odd['first']}{more}")
+        if f.name in unexpected:
+            n, first = unexpected[f.name]
+            add(f, "allowed", n, f"unexpected values {first}" + (f" (+{n - 5} more)" if n > 5 else ""))
         if got.get(f"outside_{i}"):
             add(f, "range", got[f"outside_{i}"], f"{got[f'outside_{i}']:,} rows outside {f.bounds}")
     extra = sorted(set(df.columns) - {f.name for f in fields})

@@ -24,8 +24,15 @@ NO_QUERY = ("", "-", "[]", '""', "''", "none", "null", "n/a", "없음")
 DANGLING = ("wait", "hmm", "actually", "but", "so", "그런데", "하지만", "그래서")
 DIRECTIVES = ("삽입", "입력", "기재", "작성", "추가", "여기에", "채워")
 
+# The patterns of the rules.
+ERROR_WORD = f"(?iu){NOT_AFTER_WORD}(?:{'|'.join(ERRORS)})(?!{W})"
 STRUCTURED = rf"^{WS}*(?:[|\-*>+]|\p{{Nd}}+[.)]|#{{1,6}}{WS})"
+NOTHING_FOUND = rf"(?iu)^{WS}*0+{WS}*(?:건|개|docs?|documents?|results?)?{WS}*\z"
+THINK, THOUGHT = "(?iu)<think(?:ing)?>", "(?iu)</think(?:ing)?>"
+DANGLES = rf"(?iu)(?:{'|'.join(DANGLING)})[{BLANKS},]*\z"
 _TOKEN = "[A-Z][A-Z0-9_ ]{2,}"
+CURLY, ANGLE, SQUARE = r"\{\{[^{}]+\}\}", f"<{_TOKEN}>", rf"\[{_TOKEN}\](?!\()"
+DIRECTIVE = rf"\[[^\[\]]*(?:{'|'.join(DIRECTIVES)})[^\[\]]*\](?!\()"
 
 
 def _prepare(raw: dict[str, Column]) -> list:
@@ -41,7 +48,7 @@ def _on(build):
 
 
 def _error_keyword(c: dict[str, Column]) -> Column:
-    return c["text"].rlike(f"(?iu){NOT_AFTER_WORD}(?:{'|'.join(ERRORS)})(?!{W})") | contains_any(c["text"], ERRORS_KO)
+    return c["text"].rlike(ERROR_WORD) | contains_any(c["text"], ERRORS_KO)
 
 
 def _answer_truncated(c: dict[str, Column]) -> Column:
@@ -71,7 +78,7 @@ def _sensitive_info(c: dict[str, Column]) -> Column:
 
 def _empty_docs(c: dict[str, Column]) -> Column:
     t = py_strip(text_of(c[RETRIEVED_DOCS]))
-    return F.lower(t).isin(*NO_DOCS) | t.rlike(rf"(?iu)^{WS}*0+{WS}*(?:건|개|docs?|documents?|results?)?{WS}*\z")
+    return F.lower(t).isin(*NO_DOCS) | t.rlike(NOTHING_FOUND)
 
 
 def _empty_query(c: dict[str, Column]) -> Column:
@@ -84,14 +91,13 @@ def _language_mismatch(c: dict[str, Column]) -> Column:
 
 def _thinking_stopped(c: dict[str, Column]) -> Column:
     t = c["text"]
-    opened, closed = count_of(t, "(?iu)<think(?:ing)?>"), count_of(t, "(?iu)</think(?:ing)?>")
-    return F.when(t == "", c["query"] != "").otherwise((t.contains("<") & (opened > closed)) | t.rlike(rf"(?iu)(?:{'|'.join(DANGLING)})[{BLANKS},]*\z"))
+    opened, closed = count_of(t, THINK), count_of(t, THOUGHT)
+    return F.when(t == "", c["query"] != "").otherwise((t.contains("<") & (opened > closed)) | t.rlike(DANGLES))
 
 
 def _placeholder_leak(c: dict[str, Column]) -> Column:
     p = c["prose"]
-    korean = rf"\[[^\[\]]*(?:{'|'.join(DIRECTIVES)})[^\[\]]*\](?!\()"
-    return p.rlike(r"\{\{[^{}]+\}\}") | p.rlike(f"<{_TOKEN}>") | (p.contains("[") & (p.rlike(rf"\[{_TOKEN}\](?!\()") | p.rlike(korean)))
+    return p.rlike(CURLY) | p.rlike(ANGLE) | (p.contains("[") & (p.rlike(SQUARE) | p.rlike(DIRECTIVE)))
 
 
 #: The order is part of the contract.

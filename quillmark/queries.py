@@ -1,7 +1,7 @@
 """Queries over the test tables, and the SQL each is held against.
 
-The turns are all documents (the text as answer to one fixed question) and the
-hand-made turns. A query without SQL can't be expressed there; tests hold it
+The turns are all documents (the text as answer to one fixed question), the
+questions and answers of all conversations, and the hand-made turns. A query without SQL can't be expressed there; tests hold it
 against plain Python.
 """
 
@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark import report
 from quillmark import sqltext as S
 from quillmark.fixtures import QUESTION, TURNS
 from quillmark.functions import language, links, markdown, pii
@@ -20,18 +21,24 @@ from quillmark.functions.text import blank, py_lines, py_strip, tally, text_of
 from quillmark.operators import contract, pack_a, pack_b, tagging
 from quillmark.plans.registry import ANSWER, QUERY, RETRIEVED_DOCS, SEARCH_QUERY
 from quillmark.session import shared_dir, spread
-from quillmark.sources import logs, sinks, synth
+from quillmark.sources import conversations, logs, sinks, synth
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _COLUMNS = ("id", QUERY, ANSWER, SEARCH_QUERY, RETRIEVED_DOCS)
 
 
+#: Turns of conversations are numbered from here on, by conversation and turn.
+_PAIRS_FROM = 10**12
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and hand-made turns, with a numeric id."""
+    """Documents, pairs of conversations and hand-made turns, with a numeric id."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(F.col("doc_id").alias("id"), F.lit(QUESTION).alias(QUERY), F.col("text").alias(ANSWER), F.lit("x").alias(SEARCH_QUERY), F.lit("x").alias(RETRIEVED_DOCS))
+    pairs = conversations.question_answer_pairs(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    pairs = pairs.select((_PAIRS_FROM + 1000 * F.col("conv_id") + F.col("turn")).alias("id"), *_COLUMNS[1:])
     made = spark.createDataFrame([(-i - 1, *t) for i, t in enumerate(TURNS)], ", ".join(["id long", *(f"{c} string" for c in _COLUMNS[1:])]))
-    return docs.union(made)
+    return docs.union(pairs).union(made)
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +73,67 @@ def _round_trip(write, read) -> Query:
     return run
 
 
+def _by_part(df: DataFrame, n: int, write, path: str) -> list[str]:
+    """``df`` written as ``n`` tables, each with some of the rows."""
+    places = [f"{path}/{k}" for k in range(n)]
+    for k, place in enumerate(places):
+        write(df.where(F.pmod(F.hash("doc_id"), F.lit(n)) == k), place)
+    return places
+
+
+def _union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as three CSV tables, the last without a column, and united again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("string").alias("doc_id"), "source", "lang")
+    places = _by_part(docs, 3, sinks.write_csv, f"{shared_dir(spark)}/parts-{uuid.uuid4().hex}")
+    parts = [logs.read_csv(spark, p) for p in places]
+    back = logs.union_parts([*parts[:2], parts[2].drop("lang").withColumn("lang", F.lit("none"))])
+    return back.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"))
+
+
+def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents appended to one CSV table in two steps, read in splits."""
+    path = f"{shared_dir(spark)}/append-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("string").alias("doc_id"), "source")
+    half = F.pmod(F.hash("doc_id"), F.lit(2)) == 0
+    sinks.write_csv(docs.where(half), path)
+    sinks.write_csv(docs.where(~half), path, append=True)
+    return logs.read_csv(spark, path, line_breaks=False)
+
+
+def _limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows come for some limits; 0 is no limit."""
+    path = f"{shared_dir(spark)}/limits-{uuid.uuid4().hex}"
+    sinks.write_csv(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), path)
+    out = None
+    for n in (0, 1, 7, 10**9):
+        one = logs.read_csv(spark, path, limit=n).agg(F.lit(n).cast("long").alias("rows_wanted"), F.count("*").alias("rows_read"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+def _tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that a run prints; as many as there are rules."""
+    counts = tagging.tag_counts(turns(spark, sf_dir)).collect()
+    return spark.createDataFrame([(x,) for x in report.tag_lines(counts)], "line string")
+
+
+def _column_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each pack-A rule, whether it can run on tables that lack the optional columns."""
+    rows = []
+    for columns in ((QUERY, ANSWER), (QUERY, ANSWER, SEARCH_QUERY), _COLUMNS):
+        there = {r.name for r in pack_a.PACK.present(columns)}
+        rows += [(len(columns), n, n in there) for n in pack_a.PACK.names()]
+    return spark.createDataFrame(rows, "columns long, rule string, runs boolean")
+
+
+def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exit status of the contract on the log as it is and without what breaks it."""
+    log = _log(spark, sf_dir)
+    good = log.where("key <> ' NA ' and status = 'O'").drop("more")
+    rows = [(name, int(not contract.validate(df, _SPECS).ok)) for name, df in (("as it is", log), ("cleaned", good), ("empty", good.where("false")))]
+    return spark.createDataFrame(rows, "log string, status long")
+
+
 def _pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = turns(spark, sf_dir).select(F.explode(pii.find_pii(F.col(ANSWER))).alias("p"))
     return found.groupBy(F.col("p.kind").alias("kind")).agg(F.count("*").alias("n"))
@@ -180,7 +248,12 @@ def _table() -> dict[str, tuple[Query, str | None]]:
     out["snk_parquet"] = _round_trip(sinks.write_parquet, lambda s, p: s.read.parquet(p)), _DOCS
     out["prj_keepcols"] = (lambda s, d: sinks.keep_columns(s.read.parquet(f"{d}/documents.parquet"), ["source", "nothing", "doc_id"])), "select source, doc_id from documents"
     out["prj_usecols"] = (lambda s, d: s.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang")), "select doc_id, lang from documents"
-    out["agg_union_parts"] = (lambda s, d: s.read.parquet(f"{d}/documents.parquet").groupBy("source").count().withColumnRenamed("count", "n")), "select source, count(*) as n from documents group by source"
+    out["agg_union_parts"] = _union_parts, "select source, count(*) as n, count(distinct doc_id) as ids from documents group by source"
+    out["snk_csv_append"] = _append, "select doc_id::varchar as doc_id, source from documents"
+    out["flt_limit"] = _limits, "select rows_wanted::bigint as rows_wanted, case when rows_wanted = 0 then n else least(n, rows_wanted) end as rows_read from (values (0), (1), (7), (1000000000)) as l(rows_wanted), (select count(*) as n from documents)"
+    out["prj_pair"] = (lambda s, d: turns(s, d).select("id", QUERY, ANSWER)), f"with {S._turns()} select id, query as {QUERY}, answer as {ANSWER} from turns"
+    out["fn_column_missing"] = _column_missing, "select n::bigint as columns, rule, not (rule = 'empty_retrieved_docs' and n < 5) and not (rule = 'empty_search_query' and n < 3) as runs from (values " + ", ".join(f"('{n}')" for n in S.A_ORDER) + ") as r(rule), (values (2), (3), (5)) as c(n)"
+    out["val_status"] = _status, "select log, status::bigint as status from (values ('as it is', 1), ('cleaned', 0), ('empty', 1)) as x(log, status)"
 
     out["fn_text_a"] = _value("text", _stripped(lambda c: c)), S.turns_part("text", "text")
     out["fn_safe_str"] = _value("text", text_of), S.turns_part("raw", "text")
@@ -201,7 +274,7 @@ def _table() -> dict[str, tuple[Query, str | None]]:
     out["fn_flags_existing"] = _existing, f"with {S._turns()} select id, {_OLD} as flags from t"
     out["fn_tally"] = (lambda s, d: s.read.parquet(f"{d}/orders.parquet").groupBy("o_orderstatus").agg(tally(F.count_if(F.col("o_custkey") > 10), F.count("*")).alias("tally"))), "select o_orderstatus, format('{:,} / {:,}', count(*) filter (where o_custkey > 10), count(*)) as tally from orders group by o_orderstatus"
     out["fn_is_null"] = (lambda s, d: _log(s, d).select("key", contract.is_null(F.col("key")).alias("hit"))), f"{_VAL.partition('f as (')[0].rstrip().rstrip(',')} select key, trim(key) = 'NA' as hit from r"
-    out["fn_parse"] = (lambda s, d: _log(s, d).select("key", contract.parse_int(F.col("customer")).cast("long").alias("customer"), contract.parse_datetime(F.col("day")).isNotNull().alias("day"))), f"{_VAL.partition('f as (')[0].rstrip().rstrip(',')} select key, try_cast(case when customer = '12.0' then null else replace(customer, '_', '') end as bigint) as customer, day <> '2026-1-5' as day from r"
+    out["fn_parse"] = (lambda s, d: _log(s, d).select("key", contract.parse_int(F.col("customer")).cast("long").alias("customer"), contract.parse_float(F.col("customer")).alias("share"), contract.parse_datetime(F.col("day")).isNotNull().alias("day"))), f"{_VAL.partition('f as (')[0].rstrip().rstrip(',')} select key, try_cast(case when customer = '12.0' then null else replace(customer, '_', '') end as bigint) as customer, replace(customer, '_', '')::double as share, day <> '2026-1-5' as day from r"
 
     for name in pack_a.PACK.names():
         out[f"a_{name}"] = _rule(pack_a.PACK, name), S.rule_a(name)
@@ -229,6 +302,8 @@ def _table() -> dict[str, tuple[Query, str | None]]:
     out["row_overwrite_flags"] = (lambda s, d: tagging.row_tags(_flagged(s, d)).select("id", F.array_join("Flags", ",").alias("flags"))), out["row_tags"][1]
     out["row_apply_flags"] = _apply_flags, f"{S.base_b()} select id, concat_ws(',', nullif({_OLD}, ''), {_NEW_ONLY}) as flags from hb"
     each = " union all ".join(f"select '{n}' as tag, count(*) filter (where {n}) as n, round(100.0 * count(*) filter (where {n}) / count(*), 4) as pct from hb" for n in S.B_ORDER)
+    wide = max(map(len, S.B_ORDER))
+    out["snk_tagcounts"] = _tag_lines, f"{S.base_b()}, counts as ({each}) select rpad(tag, {wide}, ' ') || '  ' || lpad(format('{{:,}}', n), 10, ' ') || ' (' || printf('%.2f', pct) || '%)' as line from counts"
     out["agg_tag_counts"] = (lambda s, d: tagging.tag_counts(turns(s, d))), f"{S.base_b()} {each}"
 
     for name, kinds in {"val_validate": ("nulls", "dtype", "range", "allowed", "missing", "undeclared"), "val_nulls": ("nulls",), "val_dtype": ("dtype",), "val_range": ("range",), "val_allowed": ("allowed",), "val_missing": ("missing",), "val_undeclared": ("undeclared",)}.items():

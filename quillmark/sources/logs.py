@@ -12,20 +12,30 @@ from pyspark.sql import types as T
 PANDAS_NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False).columns
-
-
-def read_csv(spark: SparkSession, path: str, limit: int = 0, columns: Sequence[str] | None = None, na_tokens: bool = False, partitions: int | None = None) -> DataFrame:
+def _options(line_breaks: bool) -> dict:
+    return {"header": True, "multiLine": line_breaks, "quote": '"', "escape": '"'}
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    limit: int = 0,
+    columns: Sequence[str] | None = None,
+    na_tokens: bool = False,
+    partitions: int | None = None,
+    line_breaks: bool = True,
+) -> DataFrame:
     """All cells as strings: RFC 4180 quotes, line breaks inside them, a BOM, blank lines, short rows.
 
     ``limit``: the first rows only (0: all). ``columns``: only these are parsed.
     ``na_tokens``: cells that mean "missing" to an inferring reader become null.
-    A file with line breaks inside quotes is one split; ``partitions`` spreads
-    its rows for what comes after.
+    With line breaks inside quotes a file is one split, and ``partitions`` spreads
+    its rows for what comes after; with ``line_breaks=False``, for files that have
+    none, each file is read in splits of ``spark.sql.files.maxPartitionBytes``.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in _header(spark, path)])
-    df = spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE", enforceSchema=True)
+    names = spark.read.csv(path, inferSchema=False, **_options(line_breaks)).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    df = spark.read.schema(schema).csv(path, mode="PERMISSIVE", enforceSchema=True, **_options(line_breaks))
     if columns is not None:
         df = df.select(*[F.col(f"`{c}`") for c in columns])
     if na_tokens:
@@ -33,3 +43,11 @@ def read_csv(spark: SparkSession, path: str, limit: int = 0, columns: Sequence[s
     if limit:
         df = df.limit(limit)
     return df.repartition(partitions) if partitions else df
+
+
+def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all part tables, by the names of their columns; a column that a part lacks is null there."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out

@@ -19,11 +19,11 @@ def list_text(c: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(F.coalesce(c, F.array().cast("array<string>")), quote), ", "), F.lit("]"))
 
 
-def write_csv(df: DataFrame, path: str, keep: Sequence[str] | None = None, single_file: bool = False) -> None:
-    """A folder of CSV parts with a header; lists as text. ``single_file`` puts all rows through one task."""
+def write_csv(df: DataFrame, path: str, keep: Sequence[str] | None = None, single_file: bool = False, append: bool = False) -> None:
+    """A folder of CSV parts with a header; lists as text. ``single_file`` puts all rows through one task; ``append`` adds to what is there."""
     df = keep_columns(df, keep)
     out = df.select(*[(list_text(F.col(f"`{c}`")) if kind.startswith("array") else F.col(f"`{c}`")).alias(c) for c, kind in df.dtypes])
-    (out.coalesce(1) if single_file else out).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    (out.coalesce(1) if single_file else out).write.mode("append" if append else "overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_parquet(df: DataFrame, path: str, keep: Sequence[str] | None = None) -> None:

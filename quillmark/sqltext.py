@@ -66,7 +66,11 @@ def one_of(x: str, words) -> str:
 def _turns() -> str:
     rows = ", ".join(f"({-i - 1}, {lit(q)}, {lit(t)}, {lit(s)}, {lit(d)})" for i, (q, t, s, d) in enumerate(TURNS))
     return f"""turns(id, query, answer, search_query, retrieved_docs) as (
-  select doc_id, {lit(QUESTION)}, text, 'x', 'x' from documents union all values {rows}),
+  select doc_id, {lit(QUESTION)}, text, 'x', 'x' from documents
+  union all select 1000000000000 + 1000 * conv_id + turn, text, case when next_role = 'assistant' then next_text end, substr(text, 1, 20), case when last_role = 'system' then last_text end
+  from (select *, lead(role) over o as next_role, lead(text) over o as next_text, lag(role) over o as last_role, lag(text) over o as last_text
+    from conversations window o as (partition by conv_id order by turn, role, text)) where role = 'user'
+  union all values {rows}),
 t as (select id, coalesce(answer, '') as raw, {strip("coalesce(answer, '')")} as text, {strip("coalesce(query, '')")} as q,
   substr(coalesce(query, ''), 1, 100) as head, {strip("coalesce(search_query, '')")} as sq, {strip("coalesce(retrieved_docs, '')")} as rd from turns)"""
 

@@ -66,7 +66,7 @@ def test_cli_summary(spark, capsys, tmp_path):
     assert "RUN SUMMARY" in out and "status    : OK" in out and "running on" in err
     labels = [x[:10].strip() for x in out.splitlines() if x[10:12] == ": " or x[10:] == ":"]
     assert labels == ["version", "args", "input", "shape", "schema", "metrics", "runtime", "status"]
-    assert all(report.cells(x) <= 80 for x in out.splitlines())
+    assert all(report.display_width(x) <= 80 for x in out.splitlines())
     assert cli.main(["summary", "--dry-run", "--rows", "50", "--adversarial"]) == 1
     assert "CONTRACT MISMATCH" in capsys.readouterr().out
     assert cli.main(["summary", "--data", str(tmp_path / "none.csv")]) == 2
