@@ -7,12 +7,62 @@ of the pattern, which decides the same for "is there any".
 from __future__ import annotations
 
 from quillmark.fixtures import QUESTION, TURNS
-from quillmark.functions import language as lang
-from quillmark.functions import links
-from quillmark.functions.markdown import DELIMITER
-from quillmark.functions.text import BLANKS, LT, NW, NWS, WORD, WS, D, W
-from quillmark.operators import pack_a as a
-from quillmark.operators import pack_b as b
+
+# Fixed values, written down here once more and not taken from the expressions that are checked: character classes.
+BLANKS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS, NWS = f"[{BLANKS}]", f"[^{BLANKS}]"
+LT = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}])"
+WORD = r"\p{L}\p{N}_"
+W, NW = f"[{WORD}]", f"[^{WORD}]"
+D = r"\p{Nd}"
+DELIMITER = rf"^{WS}*\|?[{BLANKS}:|-]*-[{BLANKS}:|-]*\|?{WS}*$"
+
+
+class lang:
+    """Scripts of pack A in order, classes of pack B."""
+
+    SCRIPTS = {"hangul": "[가-힣]", "latin": "[a-zA-Z]", "cjk": r"[\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]", "cyrillic": r"[\x{0400}-\x{04ff}]", "arabic": r"[\x{0600}-\x{06ff}]"}
+    HANGUL = r"[가-힣\x{1100}-\x{11ff}\x{3130}-\x{318f}]"
+    HAN = r"[\x{4e00}-\x{9fff}\x{3400}-\x{4dbf}\x{f900}-\x{faff}]"
+    KANA = r"[\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{31f0}-\x{31ff}]"
+    LATIN = r"[a-zA-Z\x{00c0}-\x{024f}\x{1e00}-\x{1eff}]"
+    VIETNAMESE = r"[ăâđêôơưàáảãạèéẻẽẹìíỉĩịòóỏõọùúủũụỳýỷỹỵ\x{1ea0}-\x{1ef9}]"
+
+
+class a:
+    """Fixed values of pack A."""
+
+    ERRORS = ["error", "errors", "exception", "failed", "failure", "crash", "crashed", "bug", "wrong", "incorrect", "invalid", "undefined", "traceback"]
+    ERRORS_KO = ["오류", "실패", "예외", "잘못"]
+    CUT_MARKS = ["[truncated]", "[incomplete]", "[cut off]", "[더보기]"]
+    CLOSERS = [".", "!", "?", "다", "요", "음", "」", "”", '"', ")", "]", "}", ">"]
+    NO_DOCS = ["", "-", "[]", "{}", "none", "null", "n/a", "na", "no results", "no documents", "없음"]
+    NO_QUERY = ["", "-", "[]", '""', "''", "none", "null", "n/a", "없음"]
+    DANGLING = ["wait", "hmm", "actually", "but", "so", "그런데", "하지만", "그래서"]
+    DIRECTIVES = ["삽입", "입력", "기재", "작성", "추가", "여기에", "채워"]
+    STRUCTURED = rf"^{WS}*(?:[|*>+-]|{D}+[.)]|#{{1,6}}{WS})"
+
+
+class b:
+    """Fixed values of pack B."""
+
+    NO_INFORMATION = ["정보가 없", "제공되지 않아"]
+    ENDS = [".", "?", "!", "…", "。", "？", "！", "；", ";", ":"]
+    PAUSES = [",", "、", "，", "·", "-"]
+    CLOSING = r"\)\]\}\"'’”」』〕】>*_`"
+    KOREAN_ENDINGS = ["습니다", "합니다", "입니다", "됩니다", "봅니다", "세요", "해요", "예요", "이에요", "네요", "어요", "아요", "지요", "죠", "있다", "없다", "이다"]
+    ASKS_TABLE = rf"(?i)(?:표로|표{WS}*형식|테이블로|table{WS}*(?:형식|form)|as{WS}+a{WS}+table|in{WS}+a{WS}+table)"
+    ASKS_LINE = rf"(?i)(?:한{WS}*줄로|한{WS}*문장으로|one{WS}*line|single{WS}*line|in{WS}+one{WS}+sentence)"
+    ASKS_BULLETS = rf"(?i)(?:bullet|불릿|글머리|목록으로|리스트로|list{WS}*형식|as{WS}+a{WS}+list)"
+    ASKS_NUMBERS = rf"(?i)(?:번호를?{WS}*매겨|번호로|numbered{WS}*list|1\.{WS}*2\.{WS}*3\.)"
+    ASKS_JSON = "(?i)(?:json|제이슨)"
+
+
+class links:
+    """Marks of placeholders in addresses."""
+
+    PLACEHOLDER_HOSTS = ["example.com", "example.org", "example.net", "yourdomain", "localhost", "127.0.0.1", "test.com", "abc.com", "url.com"]
+    PLACEHOLDER_MARKS = ["<", ">", "{", "}", "링크", "url_here", "insert", "your-", "xxx"]
 
 
 def lit(s: str | None) -> str:
@@ -151,7 +201,7 @@ _URLS_A = f"""ua as (
 badlink as (select distinct id from (select id, u, string_split(regexp_replace(u, '^https?://', ''), '/')[1] as host from ua) where not {_VALID_A})"""
 _A["invalid_link"] = "badlink.id is not null"
 
-_TAIL = sub("raw2", rf"[{b.escaped(b.CLOSING)}{BLANKS}]+$")
+_TAIL = sub("raw2", rf"[{b.CLOSING}{BLANKS}]+$")
 
 
 def _b_trunc() -> str:
