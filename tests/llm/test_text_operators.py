@@ -174,7 +174,7 @@ def plain_rules(text):
 
 def test_rules_against_brute_force(spark):
     texts = [passage(30, 1) + " " + passage(30, 1), passage(8, 2), "# a | b\n" * 4 + passage(40, 3), passage(50, 5) + "\n" + passage(50, 5)]
-    df = table(spark, texts).union(edge(spark)).withColumn("h", F.lit(1)).withColumn("host", F.lit(2))
+    df = table(spark, texts).union(edge(spark)).withColumn("h", F.lit(1)).withColumn("host", F.lit(2)).withColumn("kept", F.lit("x")).withColumn("n_words", F.lit(0))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     rows = quality_rules.rules(df).collect()
     assert len(rows) == df.count() and all(tuple(r[n] for n in names) == plain_rules(r.text) for r in rows)
@@ -200,6 +200,42 @@ def test_lines_of_documents_that_recombine_a_pool(spark):
     assert all(x.n_common_words == 120 and not x.kept for x in got)
 
 
+def plain_common(rows, most=quality_rules.MAX_DOCUMENTS, least=quality_rules.MIN_DOCUMENTS, share=quality_rules.MAX_SHARE):
+    """(text, host) -> numbers of its lines that are common on the host, and their words."""
+    bare = lambda line: " ".join(re.findall(r"[^\x20\x09-\x0D]+", line.lower()))
+    where, hosts = {}, {}
+    for text, host in rows:
+        for line in (text or "").split("\n"):
+            if bare(line):
+                where.setdefault((host, bare(line)), set()).add(text)
+                hosts.setdefault(host, set()).add(text)
+    common = {k for k, v in where.items() if len(v) > most or (len(v) >= least and len(v) > share * len(hosts[k[0]]))}
+    out = {}
+    for text, host in rows:
+        lines = (text or "").split("\n")
+        at = [i for i, line in enumerate(lines) if (host, bare(line)) in common]
+        clean = "\n".join(line for i, line in enumerate(lines) if i not in at) if at else text
+        out[text, host] = len(at), sum(len(bare(lines[i]).split(" ")) for i in at), clean
+    return out
+
+
+def test_common_lines_against_brute_force(spark):
+    header, footer = passage(9, 400), passage(7, 401)
+    rows = [(i, f"{header}\n{passage(30, 500 + i)}\n{passage(3, i % 40)}\n {footer.upper()} \t", "en", "big", 1) for i in range(500)]
+    rows += [(1000 + i, "the same single line on all pages of a host, twelve words long", "en", "copies", 1) for i in range(120)]
+    rows += [(2000 + i, f"Page {i}\n{footer}\n\n{passage(40, 900 + i)}", "en", None if i % 2 else "small", 1) for i in range(24)]
+    rows += [(3000 + i, f"{header}\n{header}\nown {i}", "en", "stubs", 1) for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA).union(edge(spark)).withColumn("N_Words", F.lit("clash")).withColumn("h", F.lit(1)).withColumn("at", F.lit(2))
+    for limits in ({}, {"max_documents": 7}, {"min_documents": 2, "max_share": 0.4}):
+        got = quality_rules.rules(df, **limits).collect()
+        want = plain_common([(r.text, r.source) for r in df.collect()], *(limits.get(k, d) for k, d in (("max_documents", 100), ("min_documents", 5), ("max_share", 0.1))))
+        assert len(got) == df.count() and all((r.n_common_lines, r.n_common_words, r.clean_text) == want[r.text, r.source] for r in got)
+        for r in got:
+            rest = r.n_words - r.n_common_words
+            assert r.kept == (not r.base_failed and rest >= 10 and rest >= 0.3 * r.n_words) and r.at == 2
+    assert not any(r.kept for r in got if r.source == "stubs") and sum(r.kept for r in got if r.source == "big") == 500
+
+
 # --- op 2 ---------------------------------------------------------------------------------------------------------
 
 
