@@ -215,6 +215,45 @@ def test_other_bytes_between_members(spark, tmp_path):
         assert sorted(r.record_id for r in warc.read(files, size).collect()) == [f"<urn:x-page:{i}>" for i in range(5)]
 
 
+def test_each_range_is_a_task(spark, tmp_path):
+    r = random.Random(2)
+    df = spark.createDataFrame([(i, "u", "".join(chr(r.randrange(33, 127)) for _ in range(2000))) for i in range(200)], "page_id long, url string, html string")
+    scratch = Scratch(spark, "ranges")
+    files = warc.write(df.repartition(4), f"{scratch.path}/a", scratch)
+    n = sum(-(-r.length // 5000) for r in files.collect())
+    got = warc.read(files, 5000, with_payload=False).withColumn("task", F.spark_partition_id())
+    assert got.rdd.getNumPartitions() == n > 40
+    assert got.count() == 200 and got.select("task").distinct().count() > 30
+
+
+def test_members_of_several_records_and_damaged_ones(spark, tmp_path):
+    import gzip
+
+    def plain(i, body=b"abc", length=None, version=b"WARC/1.1"):
+        head = b"%s\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:%d>\r\nContent-Length: %s\r\n\r\n" % (version, i, length or b"%d" % len(body))
+        return head + body + b"\r\n\r\n"
+
+    rng = random.Random(3)
+    big = bytes(rng.randrange(256) for _ in range(3 << 20))
+    many = gzip.compress(b"".join(plain(i, bytes([65 + i]) * i) for i in range(20)))
+    torn = bytearray(gzip.compress(plain(30, big)))
+    torn[len(torn) // 2] ^= 255  # its checksum, or a block, is wrong
+    cut = gzip.compress(plain(40) + plain(41, b"x" * 500))[:-30]
+    parts = [many, bytes(torn), gzip.compress(plain(50)), gzip.compress(plain(51) + plain(52, length=b"many")), gzip.compress(plain(53, b"zz", b"99999")), gzip.compress(plain(60, big)), cut, gzip.compress(plain(70)), b"\x1f\x8b\x08"]
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(b"".join(parts))
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    starts = [sum(map(len, parts[:i])) for i in range(len(parts))]
+    for size in (warc.RANGE_BYTES, 1 << 18):
+        for payload in (True, False):
+            rows = warc.read(warc.list_archives(spark, str(tmp_path)), size, payload).collect()
+            good = {int(r.record_id.split(":")[2][:-1]): r for r in rows if r.error is None}
+            assert {*range(20), 50, 51, 60, 70} <= set(good) <= {*range(20), 30, 40, 41, 50, 51, 60, 70}
+            assert [good[i].payload_bytes for i in range(20)] == list(range(20)) and [good[i].in_member for i in range(20)] == list(range(20))
+            assert good[60].payload_digest == hashlib.sha1(big).hexdigest() and (not payload or bytes(good[60].payload) == big)
+            assert {r.offset for r in rows if r.error} == {starts[1], starts[3], starts[4], starts[6]}
+
+
 # --- pipeline -----------------------------------------------------------------------------------------------------
 
 
