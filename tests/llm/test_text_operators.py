@@ -146,15 +146,26 @@ def plain_lines(rows):
     return sorted(out, key=repr)
 
 
-def test_lines_against_brute_force(spark):
+@pytest.mark.parametrize("most, rows", [(line_dedup.MAX_FILTER_BYTES, 10**6), (1 << 17, 10**6), (1000, 3)])
+def test_lines_against_brute_force(spark, most, rows):
+    """Whether filters and keys are sent to all tasks or not, and with segments shared by several tasks."""
     common, other = "This line is in Very many documents ", "ÀÉ this one too, in three of them"
     texts = [f"{passage(5, i)}\n  {common}\t\nshort" for i in range(9)] + [f"{other}\n{other}\nx{i}" for i in range(3)] + ["only two documents hold this"] * 2
-    df = table(spark, texts).union(edge(spark).withColumn("doc_id", F.col("doc_id") + 100))
-    rows = [(r.doc_id, r.text) for r in df.collect()]
-    for most in (line_dedup.MAX_FILTER_BYTES, 1 << 17):  # a full filter only costs work
-        out = line_dedup.dedup_lines(df.withColumn("n_lines", F.lit(0)).withColumn("gone", F.lit("x")), max_filter_bytes=most)
-        got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text.encode()) for r in out.collect()), key=repr)
-        assert got == plain_lines(rows) and sum(x[2] for x in got) > 8 and "gone" in out.columns
+    texts += ["\n".join(passage(6, r % 70) for r in range(i, i + 40)) for i in range(90)]
+    more = spark.createDataFrame([(None, f"{common}\nno id {i}", "en", "s", 1) for i in range(5)] + [(7, f"{common}\nagain", "en", "s", 1)], SCHEMA)
+    df = table(spark, texts).union(edge(spark).withColumn("doc_id", F.col("doc_id") + 200)).union(more)
+    plain = plain_lines([(r.doc_id, r.text) for r in df.collect()])
+    out = line_dedup.dedup_lines(df.withColumn("N_lines", F.lit(0)).withColumn("gone", F.lit("x")).withColumn("id", F.array(F.lit(1))), max_filter_bytes=most, segment_rows=rows)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text.encode()) for r in out.collect()), key=repr)
+    assert got == plain and sum(x[2] for x in got) > 1000 and {"gone", "id", "n_lines"} <= set(out.columns) and "N_lines" not in out.columns
+    named = line_dedup.dedup_lines(df.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0"))), max_filter_bytes=most, segment_rows=rows)
+    assert sorted((r.n_lines, r.n_dropped, r.text.encode()) for r in named.collect()) == sorted(x[1:] for x in plain)
+
+
+def test_unaffected_texts_stay_where_they_are(spark):
+    texts = [f"line number {i} stands in one document alone" for i in range(50)]
+    plan = line_dedup.dedup_lines(table(spark, texts))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 # --- op 4 ---------------------------------------------------------------------------------------------------------
@@ -242,35 +253,74 @@ def test_common_lines_against_brute_force(spark):
 def plain_contained(docs, items):
     def shingles(t):
         w = re.findall(r"[^\W_]+", (t or "").lower())
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {(0, *w)} if w else set()
 
     out = set()
-    for j, t in items:
-        q = shingles(t)
-        for i, d in docs:
-            if q and len(q & shingles(d)) >= 0.8 * len(q):
-                out.add((i, j, len(q & shingles(d)), len(q)))
+    sets = [(j, shingles(t)) for j, t in items]
+    for i, d in docs:
+        own = shingles(d)
+        out |= {(i, j, len(q & own), len(q)) for j, q in sets if q and len(q & own) >= 0.8 * len(q)}
     return out
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_CHARS, 300])
-def test_contained_items_against_brute_force(spark, block):
-    items = [(j, passage(n, 900 + j)) for j, n in enumerate([4, 5, 6, 9, 20, 40, 90, 300])] + [(50, None), (51, "")]
+@pytest.mark.parametrize("chars", [decontaminate.INDEX_CHARS, 0])
+def test_contained_items_against_brute_force(spark, chars):
+    items = [(j, passage(n, 900 + j)) for j, n in enumerate([4, 5, 6, 9, 20, 40, 90, 300, 1])] + [(50, None), (51, ""), (52, passage(20, 904)), (None, passage(40, 905))]
     docs = [(i, passage(3000 if i % 2 else 40, i)) for i in range(12)]
     for j, t in items:
-        if t:
+        if t and j is not None:
             w = t.split()
             docs.append((100 + j, passage(700, j) + " " + t.upper().replace(" ", ", ") + "! " + passage(700, j + 50)))
             docs.append((200 + j, passage(30, j) + " " + " ".join(w[: int(len(w) * 0.93)]) + " and more"))
             docs.append((300 + j, " ".join(w[: len(w) // 2]) + " " + passage(99, j)))
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item", F.lit(3)).withColumn("item_id", F.lit(4))
-    got = {tuple(r) for r in decontaminate.contained_items(df, spark.createDataFrame(items, "item_id long, text string"), block_chars=block).collect()}
-    assert got == plain_contained(docs, items) and len(got) >= 7
+            # the two halves far apart: containment is of the whole document
+            docs.append((400 + j, " ".join(w[: len(w) // 2]) + " " + passage(999, j) + " " + " ".join(w[len(w) // 2 :])))
+    docs += [(500, items[0][1].upper()), (501, items[8][1] + "!"), (None, items[4][1]), (7, items[4][1]), (7, items[4][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item", F.lit(3)).withColumn("ID", F.lit(4))
+    got = sorted(map(tuple, decontaminate.contained_items(df, spark.createDataFrame(items, "item_id long, text string"), index_chars=chars).collect()), key=repr)
+    want = plain_contained(docs, items)
+    assert set(got) == want and len(want) >= 14 and len(got) == len(want) + 2  # one row comes twice, and holds two items
+
+
+def test_items_that_share_most_shingles(spark):
+    """Thousands of items with one preamble: shingles that all share are no candidates' reason, and nothing is lost."""
+    preamble = passage(40, 1)
+    items = [(i, f"{preamble} {passage(14 if i % 7 else 3, 10 + i)}") for i in range(300)]
+    docs = [(i, f"{passage(50, 5000 + i)} {preamble} {passage(50, 6000 + i)}") for i in range(30)] + [(100 + i, f"{passage(9, i)} {items[i][1]}") for i in range(20)]
+    df, what = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = plain_contained(docs, items)
+    for chars in (decontaminate.INDEX_CHARS, 0):
+        assert set(map(tuple, decontaminate.contained_items(df, what, index_chars=chars).collect())) == want
+    assert len(want) > 1000  # those made of the preamble are in all documents
+
+
+def test_sketches_miss_as_rarely_as_they_say():
+    from math import comb
+
+    for n in (1, 4, 16, 17, 30, 64, 300):
+        for of in {n, max(1, n - 3), max(1, n // 2)}:
+            k, t = decontaminate.sketch_plan(n, of, 0.8, 16, 1e-6)
+            there = of - (n - decontaminate._needed(n, 0.8))
+            if k:
+                miss = sum(comb(there, i) * comb(of - there, k - i) for i in range(t) if 0 <= k - i <= of - there) / comb(of, k)
+                assert k <= of and t >= 1 and miss <= 1e-6
+            else:
+                assert there <= 0
+    assert decontaminate.sketch_plan(300, 300, 0.8, 16, 1e-6)[0] == 16
+
+
+def test_many_items(spark):
+    """10^5 items, beyond what one index holds."""
+    items = spark.range(100_000).select(F.col("id").alias("item_id"), F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(5000)).cast("string")) for k in range(12)]).alias("text"))
+    docs = items.where("item_id % 1000 = 3").select((F.col("item_id") + 1).alias("doc_id"), F.concat(F.lit("some words before "), "text", F.lit(" and after")).alias("text"))
+    for chars in (decontaminate.INDEX_CHARS, 1 << 16):
+        got = decontaminate.contained_items(docs, items, index_chars=chars).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == [(i + 1, i) for i in range(3, 100_000, 1000)]
 
 
 def test_decontaminate_keeps_the_rest(spark):
     item = passage(30, 1)
-    df = table(spark, [item, passage(50, 2), None, f"x {item} y"]).union(edge(spark).withColumn("doc_id", F.col("doc_id") + 50))
+    df = table(spark, [item, passage(50, 2), None, f"x {item} y"]).withColumn("source", F.lit("x")).union(edge(spark).withColumn("doc_id", F.col("doc_id") + 50))
     kept = decontaminate.decontaminate(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert kept.columns == df.columns and kept.count() == df.count() - 2
     assert decontaminate.decontaminate(df, spark.createDataFrame([], "item_id long, text string")).count() == df.count()
