@@ -139,6 +139,20 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+class Ranges:
+    """Hashes of any ranges of an array of words, from sums with powers of a base."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        n = len(words)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(words * (_UP[:n] if n <= _CHUNK else _powers(_BASE, n)), out=self.sums[1:])
+        self.down = _DOWN if n < _CHUNK else _powers(pow(_BASE, -1, 1 << 64), n + 1)
+
+    def hashes(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """For each range [low, high) of words, the same wherever the words stand; empty ones give one value."""
+        return mix((self.sums[high] - self.sums[low]) * self.down[low], 3)
+
+
 def runs(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For each text with ``first[i]`` to ``first[i + 1]`` words: the range of positions with a whole shingle."""
     low = first[:-1]

@@ -4,20 +4,25 @@ Of each document only the suffixes at minimiser positions are kept: in every
 window of ``words - prefix + 1`` positions the one whose five words hash least,
 the leftmost of equals. A passage of ``words`` words or more that two documents
 share has such a window inside, so both keep the same suffix of it, and at least
-``prefix`` words of the passage follow. Suffixes are sorted by their first
-``prefix`` words (by hash, then by that of the words after them), neighbours of
-different documents are compared, and each match is checked word by word and
-extended to the left and right in the texts.
+``prefix`` words of the passage follow.
 
-So every passage of ``words`` words is found; all matches of ``prefix`` words or
-more from a minimiser on are returned. Sorting deals rows by ranges, so a very
-common passage is spread over tasks, and each suffix is compared with one
-neighbour, never with all.
+Suffixes are sorted. The order is lexicographic over blocks of words, each block
+standing for its hash: first ``prefix`` words, then 4, 8, 16 and 40 more. As in any
+suffix array, what stands between two suffixes agrees with both in at least as
+many blocks as these with each other; so each suffix is compared with the
+neighbour before it, and with the one after it where that agrees in more blocks.
+Each match is checked word by word and extended to the left and right in the texts.
+
+Every passage of ``words`` words that another document has gives its document a
+match that covers ``prefix`` words or more of it, through the suffix kept inside;
+each match is as long as the two texts agree. Sorting deals rows by ranges, so a
+very common passage is spread over tasks, and each suffix is compared with one
+or two neighbours, never with all.
 
 Words are runs of non-blanks, compared as they are. Defined results: null, empty
 and short texts have no passages; rows without an id are left out; rows under
-one id are one document and don't repeat each other. An empty table gives no
-rows.
+one id are one document and don't repeat each other. Ids may be of any type. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from quillmark.llm.storage import Scratch
 WORDS = 50
 PREFIX = 41
 _GRAM = 5
+#: Words of the blocks after the prefix.
+_BLOCKS = (4, 8, 16, 40)
 
 
 def minimisers(values: np.ndarray, low: np.ndarray, high: np.ndarray, window: int) -> np.ndarray:
@@ -54,26 +61,35 @@ def minimisers(values: np.ndarray, low: np.ndarray, high: np.ndarray, window: in
     return np.flatnonzero(chosen)
 
 
+def block_order(ranges: kernel.Ranges, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """32 bits that sort by the blocks of words from ``at`` on: eight bits for each, the first ones lead; texts end at ``end``."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for size in _BLOCKS:
+        to = np.minimum(at + size, end)
+        out = out << np.uint64(8) | ranges.hashes(at, to) >> np.uint64(56)
+        at = to
+    return (out.astype(np.int64) - (1 << 31)).astype(np.int32)  # in the order of signed numbers
+
+
 def _suffixes(words: int, prefix: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernel.slices(batches, 1, 1 << 20):
             data, offsets = kernel.buffers(batch.column(1))
             starts, ends, first = kernel.word_spans(data, offsets)
             w = kernel.word_hashes(data, starts, ends)
-            long = kernel.shingle_hashes(w, prefix)
-            if not len(long):
+            n = len(w) - prefix + 1
+            if n <= 0:
                 continue
             low, high = kernel.runs(first, prefix)
-            at = minimisers(kernel.mix(kernel.shingle_hashes(w, _GRAM)[: len(long)], 7), low, high, words - prefix + 1)
-            doc = kernel.belongs(low, high, len(long))[at]
-            after = at + prefix
-            more = np.where(after < high[doc], long[np.minimum(after, len(long) - 1)], 0)
+            at = minimisers(kernel.mix(kernel.shingle_hashes(w, _GRAM)[:n], 7), low, high, words - prefix + 1)
+            doc = kernel.belongs(low, high, n)[at]
+            ranges = kernel.Ranges(w)
             columns = [
-                pa.array(long[at].view(np.int64)),
-                pa.array((more >> np.uint64(33)).astype(np.int32)),
+                pa.array(ranges.hashes(at, at + prefix).view(np.int64)),
+                pa.array(block_order(ranges, at + prefix, first[doc + 1])),
                 batch.column(0).take(pa.array(doc)),
                 pa.array((at - low[doc]).astype(np.int32)),
-                pa.array(np.zeros(len(at), dtype=np.int64)),
+                pa.array(np.zeros(len(at), dtype=np.int32)),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["key", "ord", "id", "pos", "ext"])
 
@@ -119,7 +135,7 @@ def _compare(least: int):
             for a, b, anchors, ta, tb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x, y = ta.split(), tb.split()
                 for i, j, n in extend(x, y, [(p["a_pos"], p["b_pos"]) for p in anchors], least):
-                    rows.append((a, i, n, b, j))
+                    rows += [(a, i, n, b, j), (b, j, n, a, i)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["id", "start_word", "n_words", "other_id", "other_word"])
 
@@ -127,16 +143,16 @@ def _compare(least: int):
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, prefix: int = PREFIX) -> DataFrame:
-    """Rows (id_col, start_word, n_words, other_id, other_word): maximal matches with another document, one such for each suffix."""
+    """Rows (id_col, start_word, n_words, other_id, other_word): maximal matches with another document, for each of the two; one or two for each suffix."""
     if not _GRAM <= prefix <= words:
         raise ValueError(f"prefix must be between {_GRAM} and words")
     scratch = Scratch(docs.sparkSession, "suffixes")
-    frame = passages.documents(docs, id_col, text_col)
-    found = passages.links(frame.mapInArrow(_suffixes(words, prefix), passages.ROWS), scratch, to_first=False)
+    known = passages.Documents(docs, id_col, text_col, scratch)
+    found = passages.links(known.frame.mapInArrow(_suffixes(words, prefix), passages.ROWS), scratch, to_first=False)
     pairs = scratch.table(found.groupBy("a", "b").agg(F.collect_list(F.struct("a_pos", "b_pos")).alias("at")), "pairs")
-    pairs = passages.with_texts(pairs, frame, scratch).select("a", "b", "at", "ta", "tb")
+    pairs = passages.with_texts(pairs, known.frame, scratch).select("a", "b", "at", "ta", "tb")
     out = pairs.mapInArrow(_compare(prefix), "id long, start_word long, n_words long, other_id long, other_word long")
-    return out.distinct().withColumnRenamed("id", id_col)
+    return known.named(out.distinct())
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
