@@ -180,6 +180,23 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
+def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """Place of the leftmost minimum of ``x[i : i + width]`` for each i with a whole window."""
+    at = np.arange(len(x))
+    if len(x) < width:
+        return at[:0]
+
+    def joined(x: np.ndarray, at: np.ndarray, by: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = x[: len(x) - by], x[by:]
+        return np.minimum(a, b), np.where(b < a, at[by:], at[: len(at) - by])
+
+    span = 1
+    while span * 2 <= width:
+        x, at = joined(x, at, span)
+        span *= 2
+    return joined(x, at, width - span)[1] if width > span else at
+
+
 _P1, _P2, _P3, _P4, _P5 = (
     np.uint64(p)
     for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)

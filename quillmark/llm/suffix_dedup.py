@@ -46,18 +46,15 @@ _BLOCKS = (4, 8, 16, 40)
 
 def minimisers(values: np.ndarray, low: np.ndarray, high: np.ndarray, window: int) -> np.ndarray:
     """Positions that are the leftmost least of some window inside one of the ranges [low, high)."""
-    least = kernel.sliding_min(values, window)
-    inside = np.zeros(len(values) + 1, dtype=np.int64)
     on = np.flatnonzero(high - low >= window)
+    if not len(on):
+        return np.zeros(0, dtype=np.int64)
+    least = kernel.sliding_argmin(values, window)
+    inside = np.zeros(len(values) + 1, dtype=np.int64)
     np.add.at(inside, low[on], 1)
     np.add.at(inside, high[on] - window + 1, -1)
-    inside = np.cumsum(inside)[: len(least)] > 0
     chosen = np.zeros(len(values), dtype=bool)
-    left = inside.copy()  # windows whose least isn't found yet
-    for k in range(window):
-        hit = left & (values[k : k + len(least)] == least)
-        chosen[np.flatnonzero(hit) + k] = True
-        left &= ~hit
+    chosen[least[np.cumsum(inside)[: len(least)] > 0]] = True
     return np.flatnonzero(chosen)
 
 
