@@ -11,7 +11,8 @@ alone; a match that is itself a token is that token. Encodings of frequent
 words are kept in bounded caches in each Python worker.
 
 Defined results: null and empty texts have no tokens and decode to no bytes.
-Bytes that aren't UTF-8 are read as U+FFFD. Other columns pass through.
+Bytes that aren't UTF-8 are read as U+FFFD. Output columns take the place of
+input columns of their names; others pass through.
 """
 
 from __future__ import annotations
@@ -73,10 +74,10 @@ class Vocabulary:
         self.pairs[before << 32 | token] = known
         return known
 
-    def extend(self, data: bytes, last: list[int]) -> None:
-        """Appends to ``last`` the last token of each prefix of ``data`` beyond the first ``len(last)``."""
+    def extend(self, data: bytes, last: list[int], stop: int | None = None) -> None:
+        """Appends to ``last`` the last token of each prefix of ``data`` beyond the first ``len(last)``, up to ``stop`` bytes."""
         ends, pairs = self.ends, self.pairs
-        for end in range(len(last) + 1, len(data) + 1):
+        for end in range(len(last) + 1, (len(data) if stop is None else stop) + 1):
             for start in range(end - 1, -1, -1):
                 token = ends.get(data[start:end])
                 if token is None:
@@ -121,7 +122,7 @@ class Prefixes:
         edited = start + len(new)
         agree = 0
         for end in range(start + 1, len(self.data) + 1):
-            self.vocabulary.extend(self.data[:end], self.last)
+            self.vocabulary.extend(self.data, self.last, end)
             agree = agree + 1 if end > edited and self.last[-1] == old[end - edited - 1] else 0
             if agree >= self.vocabulary.longest:  # all that later prefixes look back on is as before
                 self.last += old[end - edited :]
@@ -150,10 +151,26 @@ class _Kept(dict):
         return out
 
 
+#: Words whose neighbourhood shows whether a pattern splits alike at blanks, whatever stands beside them.
+_PROBES = ("a", "'s", "I'll", "é", "12", "3a", "!?", "...", "漢字", "_x", "x_", "-", "\u00a0b", "🙂", "A.b", "\x00", "/", "Ünï")
+
+
+def splits_at_blanks(split) -> bool:
+    """Whether each word with the blank before it, and each line break, is split by itself."""
+    for a in _PROBES:
+        for b in _PROBES:
+            for gap in (" ", "\n"):
+                lead = [gap, b] if gap == "\n" else [gap + b]
+                if split(a + gap + b) != [x for part in (a, *lead) for x in split(part)]:
+                    return False
+    return True
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         self.vocabulary = vocabulary
         self.split = regex.compile(pattern).findall
+        self.by_word = splits_at_blanks(self.split)
         self.known, self.begun = _Kept(self._piece), _Kept(self._begin)
         self.first, self.next = _Kept(lambda word: self._word("", word), _CACHE // 4), _Kept(lambda word: self._word(" ", word), 2 * _CACHE)
         self.line = self.pieces("\n")
@@ -184,7 +201,9 @@ class Encoder:
         return tuple(chain.from_iterable(map(self.known.__getitem__, self.split(text))))
 
     def encode(self, text: str) -> list[int]:
-        """A word between single blanks is split alike wherever it stands; other spacing is split as a whole."""
+        """Where the pattern allows it, a word between single blanks is split by itself; other spacing is split as a whole."""
+        if not self.by_word:
+            return list(self.pieces(text))
         parts = []
         after, first, line = self.next.__getitem__, self.first.__getitem__, self.line
         for one in text.split("\n"):
@@ -270,7 +289,8 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
     spark = df.sparkSession
     ship(spark)
     body = spark.sparkContext.broadcast(_vocabulary_bytes(vocabulary))
-    rest = [c for c in df.columns if c not in (ids_col, bytes_col)]
+    taken = {c.casefold() for c in (ids_col, bytes_col) if c}
+    rest = [c for c in df.columns if c.casefold() not in taken]
     frame = df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`").cast("binary").alias("__t"))
     made = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False)), *([T.StructField(bytes_col, T.BinaryType())] if bytes_col else [])]
     schema = T.StructType([*[df.schema[c] for c in rest], *made])
@@ -296,7 +316,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", bytes_col: str
     spark = df.sparkSession
     ship(spark)
     body = spark.sparkContext.broadcast(_vocabulary_bytes(vocabulary))
-    rest = [c for c in df.columns if c != bytes_col]
+    rest = [c for c in df.columns if c.casefold() != bytes_col.casefold()]
     at = rest.index(ids_col)
     schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(bytes_col, T.BinaryType())])
 

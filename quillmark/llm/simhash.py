@@ -15,7 +15,7 @@ with more than ``block`` fingerprints are compared in pairs of blocks.
 Defined results: a null or empty text has no words and the fingerprint zero,
 which links like any other. Rows repeated under one ``doc_id`` are fingerprinted
 each. A null ``doc_id`` never names a component unless all its members are null.
-An empty table gives no rows. Other columns are ignored.
+An empty table gives no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm import graph, kernel
+from quillmark.llm.native import Columns
 from quillmark.llm.storage import Scratch
 
 HALF = 31
@@ -76,8 +77,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = _fingerprints(batch.column(1), width).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["id", "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, fp long")
+    given = Columns(docs)
+    rows = given.frame.select(given[id_col].alias("id"), given[text_col].cast("binary").alias("t"))
+    return rows.mapInArrow(run, f"id {given.kind(id_col)}, fp long")
 
 
 def _anchors(half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +176,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(ids, "root").select("fp", "component_id")
     out = fps.join(named, "fp")
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id").toDF(id_col, "fingerprint", "component_id")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
