@@ -379,30 +379,85 @@ def test_prefixes_append_and_edit(reference):
     assert far.replace(10, 12, b"xyz") < 600  # later prefixes are taken over
 
 
+def test_patterns_that_look_across_blanks(reference):
+    import regex
+
+    vocabulary = bpe.Vocabulary(open(PATH, "rb").read())
+    assert bpe.Encoder(vocabulary, P.PATTERN).by_word
+    pattern = r"\w+ \w+|\s|\S"
+    encoder = bpe.Encoder(vocabulary, pattern)
+    text = "two words, and two more\nx 12 é y"
+    assert not encoder.by_word and encoder.encode(text) == [i for piece in regex.findall(pattern, text) for i in vocabulary.merged(piece.encode())]
+
+
 # --- op 3 ---------------------------------------------------------------------------------------------------------
 
 RECORDS = {
     '{"messages":[{"role":"user","content":"hi"},{"role":"assistant","content":"<|end|>\\\\ [INST]"}]}': ("messages", [("user", "hi"), ("assistant", "<|end|>\\ [INST]")]),
+    '{"id":7,"messages":[{"role":"user","content":"hi","name":"n"},{"content":"yo","role":"assistant","weight":0}],"VOID":1}': ("messages", [("user", "hi"), ("assistant", "yo")]),
+    '{"prompt":"hi","messages":[{"role":"user","content":[{"type":"text","text":"a"},{"type":"image_url","image_url":{"url":"u"}},"b"]},{"role":"assistant","content":null}]}': ("messages", [("user", "a[image_url]b"), ("assistant", "")]),
+    '{"messages":[{"role":"assistant","content":null,"tool_calls":[{"name":"f","n":1}]},{"role":"tool","content":"3"}]}': ("messages", [("assistant", '[{"n":1,"name":"f"}]'), ("tool", "3")]),
+    '{"messages":[]}': ("messages", []),
+    '{"messages":[{"role":"user"}]}': (None, []),
+    '{"messages":[{"role":"user","content":{"a":1}}]}': (None, []),
+    '{"messages":"no list"}': (None, []),
     '{"conversations":[{"from":"human","value":"a"},{"from":"gpt","value":"b"}]}': ("conversations", [("user", "a"), ("assistant", "b")]),
     '{"instruction":"do","input":"it","output":"done"}': ("instruction", [("user", "do\n\nit"), ("assistant", "done")]),
-    '{"output":"done","instruction":"do"}': ("instruction without input", [("user", "do"), ("assistant", "done")]),
-    '{"prompt":"p","completion":"c"}': ("prompt and completion", [("user", "p"), ("assistant", "c")]),
+    '{"output":"done","instruction":"do"}': ("instruction", [("user", "do"), ("assistant", "done")]),
+    '{"prompt":"p","completion":12.5}': ("prompt and completion", [("user", "p"), ("assistant", "12.5")]),
     '{"prompt":"p","response":null}': ("prompt and response", [("user", "p"), ("assistant", "")]),
-    '{"question":"p","answer":"c"}': ("question and answer", [("user", "p"), ("assistant", "c")]),
+    '{"question":true,"answer":"c","meta":{"prompt":"x"}}': ("question and answer", [("user", "true"), ("assistant", "c")]),
+    '{"prompt":"p","completion":"c","question":"q","answer":"a"}': (None, []),
     '{"other":"x"}': (None, []),
+    "[]": (None, []),
     "not json": (None, []),
 }
 
 
 def test_layouts(spark):
-    df = spark.createDataFrame([(s,) for s in RECORDS], "record string").withColumn("turn", F.lit(1)).withColumn("h", F.lit(2))
+    df = spark.createDataFrame([(s,) for s in RECORDS], "record string").withColumn("turn", F.lit(1)).withColumn("h", F.lit(2)).withColumn("Turns", F.lit("x")).withColumn("formatted", F.lit("y")).withColumn("f", F.lit("z"))
     out = chat_format.format_turns(chat_format.canonical(df)).withColumn("read", chat_format.read_back(F.col("formatted")))
+    out = out.withColumn("under", chat_format.under_mask(F.col("formatted"), F.col("loss_mask")))
     for r in out.collect():
         name, turns = RECORDS[r.record]
-        assert r.mapping == name and [tuple(t) for t in r.turns] == turns and [tuple(t) for t in r.read] == turns
+        assert r.mapping == name and [tuple(t) for t in r.turns] == turns and [tuple(t) for t in r.read] == turns, r.record
         spans = [r.formatted[s.start : s.start + s.length] for s in r.loss_mask]
         assert [re.sub(r"(?s)\\(.)", r"\1", s) for s in spans] == [t for role, t in turns if role == "assistant"]
-        assert len(re.findall(r"<\|role\|>", r.formatted)) == len(turns)
+        assert spans == [r.formatted.encode()[s.byte_start : s.byte_start + s.byte_length].decode() for s in r.loss_mask]
+        assert r.under == "".join(t for role, t in turns if role == "assistant")
+        assert len(re.findall(r"<\|role\|>", r.formatted)) == len(turns) and r.f == "z"
+        assert (r.reject_reason is None) == (name is not None)
+    bad = chat_format.rejects(chat_format.canonical(df.union(df.limit(1).withColumn("record", F.lit(None).cast("string"))))).collect()
+    assert sorted({r.reject_reason for r in bad}) == ["no record", "not JSON", "unknown layout"]
+
+
+def test_long_conversations_take_linear_time(spark):
+    import time
+
+    n = 20_000
+    df = spark.range(2).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(F.when(i % 2 == 0, "assistant").otherwise("user").alias("role"), F.concat(F.lit("é"), i.cast("string")).alias("text"))).alias("turns"))
+    out = chat_format.format_turns(df).select("formatted", F.size("loss_mask").alias("n"), F.length(chat_format.under_mask(F.col("formatted"), F.col("loss_mask"))).alias("under"))
+    out.first()
+    began = time.perf_counter()
+    rows = out.collect()
+    assert time.perf_counter() - began < 10
+    assert all(r.n == n // 2 and r.under == sum(len(f"é{i}") for i in range(2, n + 1, 2)) for r in rows)
+
+
+def test_layouts_hold_conversations_without_loss(spark):
+    r = random.Random(8)
+    rows = []
+    for c in range(200):
+        for t in range(r.choice([1, 2, 2, 2, 5])):
+            role = ("user", "assistant")[t % 2] if c % 3 else r.choice(["system", "human", "tool", "", None])
+            rows.append((c, t, role, r.choice([None, "", "[INST] x", "two\nlines", "naïve <|end|>"])))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat_format.canonical(chat_format.conversations_to_layouts(df)).collect()
+    want = {}
+    for c, _, role, text in rows:
+        want.setdefault(c, []).append((role or "", text or ""))
+    assert {x.conv_id: [tuple(t) for t in x.turns] for x in out} == want
+    assert len({x.mapping for x in out}) >= 5 and len({x.fingerprint for x in out}) >= 6
 
 
 def test_escapes_are_reversible(spark):
@@ -415,10 +470,12 @@ def test_escapes_are_reversible(spark):
 
 
 def test_conversations_with_gaps(spark):
-    rows = [(1, 2, "assistant", None), (1, 1, None, "q"), (1, 1, "user", "q"), (None, None, None, None), (2, None, "user", ""), (2, 0, "user", "x"), (2, 0, "user", "x")]
+    rows = [(1, 2, "assistant", None), (1, 1, None, "q"), (1, 1, "user", "q"), (None, None, None, None), (None, 3, "user", "alone"), (2, None, "user", ""), (2, 0, "user", "x"), (2, 0, "user", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.conv_id: [tuple(t) for t in r.turns] for r in chat_format.canonical(chat_format.conversations_to_records(df)).collect()}
-    assert got == {1: [("", "q"), ("user", "q"), ("assistant", "")], None: [("", "")], 2: [("user", ""), ("user", "x"), ("user", "x")]}
+    for made in (chat_format.conversations_to_records, chat_format.conversations_to_layouts):
+        got = [(r.conv_id, [tuple(t) for t in r.turns]) for r in chat_format.canonical(made(df)).collect()]
+        want = [(1, [("", "q"), ("user", "q"), ("assistant", "")]), (None, [("", "")]), (None, [("user", "alone")]), (2, [("user", ""), ("user", "x"), ("user", "x")])]
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
     assert chat_format.canonical(chat_format.conversations_to_records(df.limit(0))).count() == 0
 
 
@@ -429,24 +486,58 @@ def test_licences(spark):
     from quillmark.llm.license_texts import LICENSES
 
     mit = LICENSES["MIT"]
+    wrapped = "\n".join(" * " + " ".join(mit.split()[i : i + 9]) for i in range(0, len(mit.split()), 9))
     texts = [
-        mit,
-        "Copyright (c) 2020 Some One\nAll rights reserved.\n\n" + mit.upper().replace('"', "”").replace("  ", "\n"),
-        mit.replace("sublicense", "sublicence"),
-        mit + " And more.",
-        "x\n * Licensed under the Apache Licence, Version 2.0\r\nReleased under the MIT License.\n",
-        None,
-        "",
-        "Copyright 2020 Me",
+        (mit, "MIT"),
+        ("Copyright (c) 2020 Some One\nAll rights reserved.\n\n" + mit.upper().replace('"', "”").replace("  ", "\n"), "MIT"),
+        ("MIT License\n\nCopyright Jane Doe\n\n" + mit, "MIT"),
+        ("The MIT License (MIT)\nCopyright: 2020-2024 The Foo Authors\r\n\r\n" + mit.replace("\n", "\r\n"), "MIT"),
+        (f"/*\n * MIT License\n *\n * Copyright © 2001 X\n{wrapped}\n */", "MIT"),
+        ("ISC License\n\nCopyright 2020 a, b <c@d.e>\n\n" + LICENSES["ISC"], "ISC"),
+        ("BSD 3-Clause License\n\n(c) Me\n\n" + LICENSES["BSD-3-Clause"].replace("\n3. ", "\n* "), None),
+        ("BSD 3-Clause License\n\nCopr. 1999 Me\n\n" + LICENSES["BSD-3-Clause"], "BSD-3-Clause"),
+        (mit.replace("sublicense", "sublicence"), None),
+        (mit + " And more.", None),
+        ("copyright notice and this", None),
+        (None, None),
+        ("", None),
+        ("Copyright 2020 Me", None),
+    ]
+    more = [
+        ("x\n * Licensed under the Apache Licence, Version 2.0\r\nReleased under the MIT License.\n", ["Apache-2.0", "MIT"]),
+        ("Released under CC0 1.0\n\n# SPDX-License-Identifier: GPL-3.0-or-later", ["CC0-1.0", "GPL-3.0"]),
+        ("this project is licenced under the  mozilla public license, version 2.0!", ["MPL-2.0"]),
+        ("We licensed nothing. Licensed under the MIT License, see below.", []),
     ]
-    df = table(spark, texts).union(edge(spark)).withColumn("digest", F.lit(1))
-    got = sorted(license_scan.scan(df).where("source = 's'").collect(), key=lambda r: r.doc_id if r.doc_id is not None else 99)
-    assert [r.license_id for r in got][:8] == ["MIT", "MIT", None, None, None, None, None, None]
-    assert got[4].notice_ids == ["Apache-2.0", "MIT"]
+    df = table(spark, [t for t, _ in texts] + [t for t, _ in more]).withColumn("digest", F.lit(1)).withColumn("license_id", F.lit("x")).withColumn("T", F.lit(0)).withColumn("Canonical_sha256", F.lit("y"))
+    got = license_scan.scan(df).orderBy("doc_id").collect()
+    assert [r.license_id for r in got] == [i for _, i in texts] + [None] * len(more)
+    assert [r.notice_ids for r in got[len(texts) :]] == [i for _, i in more] and got[0].notice_ids == [] and got[0].T == 0
+    assert license_scan.scan(edge(spark)).count() == edge(spark).count()
     own = spark.createDataFrame([("b", "My own terms"), ("a", "my, OWN terms!"), ("z", None)], "license_id string, text string")
     assert [r.license_id for r in license_scan.scan(table(spark, ["MY own Terms.", ""]), own).orderBy("doc_id").collect()] == ["a", None]
 
 
+def test_long_licences(spark):
+    """Whole licences as systems keep them, where there are any."""
+    import pathlib
+
+    place = pathlib.Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    there = [n for n in names if (place / n).is_file()]
+    if not there:
+        pytest.skip("no licence files here")
+    df = table(spark, ["# " + (place / n).read_text().replace("\n", "\r\n# ") for n in there])
+    assert [r.license_id for r in license_scan.scan(df).orderBy("doc_id").collect()] == [names[n] for n in there]
+
+
+def test_every_notice_has_a_telling_word():
+    from quillmark.llm.license_texts import notices
+
+    words = license_scan.telling_words(notices())
+    assert len(words) < 30 and all(any(w in n.lower() for w in words) for n in notices())
+
+
 def test_every_operator_takes_empty_tables(spark):
     none = table(spark, []).withColumn("id", F.lit(1))
     assert simhash.near_duplicates(none).count() == 0
