@@ -24,7 +24,7 @@ from quillmark.llm.storage import Scratch
 
 _STEP = 250_000
 #: Rows of a range.
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 500_000
 ROWS = "key long, ord int, id long, pos int, ext int"
 _LINKS = "edge int, key long, ord int, a long, a_pos int, a_ext int, b long, b_pos int, b_ext int"
 _KINDS = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
@@ -58,7 +58,10 @@ def _link(to_first: bool):
 
     def out(edge: int, rows: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         key, order, doc, pos, ext = rows
-        columns = [np.full(len(a), edge), key[a], order[a], doc[a], pos[a], ext[a], doc[b], pos[b], ext[b]]
+        if edge:
+            columns = [np.ones(len(a)), key[a], order[a], doc[a], pos[a], ext[a], doc[b], pos[b], ext[b]]
+        else:  # nobody asks for the key of a link
+            columns = [np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a)), doc[a], pos[a], ext[a], doc[b], pos[b], ext[b]]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

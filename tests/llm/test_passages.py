@@ -126,6 +126,9 @@ def test_compact_windows_against_brute_force():
                 if b - a + 1 >= t:
                     want.append((d, a, c, b))
         assert sorted(zip(*(x.tolist() for x in substring_dedup.compact_windows(v, low, high, t)), strict=True)) == sorted(want)
+        # cut to one length: what starts in each node
+        cut = [(max(a, c - t + 1), min(c, b - t + 1), c) for _, a, c, b in want]
+        assert list(zip(*(x.tolist() for x in substring_dedup.windows_of_length(v, low, high, t)), strict=True)) == sorted(cut)
 
 
 @pytest.mark.parametrize("step", [500_000, 3])
@@ -140,6 +143,9 @@ def test_each_shared_key_gives_a_link(spark, monkeypatch, step, to_first):
         rows = sorted({(r.randrange(4), r.randrange(2), r.randrange(5), r.randrange(6)) for _ in range(r.randrange(1, 50))})
         cuts = sorted(r.sample(range(len(rows) + 1), min(3, len(rows))))
         found, ends, pairs = set(), set(), set()
+        key_of = {(d, p): k for k, _, d, p in rows}
+        rows = [x for x in rows if key_of[x[2], x[3]] == x[0]]  # a place has one key
+        cuts = [min(c, len(rows)) for c in cuts]
 
         def run(part):
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
@@ -149,6 +155,7 @@ def test_each_shared_key_gives_a_link(spark, monkeypatch, step, to_first):
                     if e:
                         ends.add((key, order, a, ap))
                     else:
+                        key = key_of[a, ap]
                         found.add((key, a, ap))
                         pairs.add((key, a, other))
                         assert a != other and any(x[0] == key and x[2] == other and x[3] == op for x in rows)

@@ -538,6 +538,22 @@ def test_every_notice_has_a_telling_word():
     assert len(words) < 30 and all(any(w in n.lower() for w in words) for n in notices())
 
 
+def test_scratch_tables_go(spark):
+    import pathlib
+
+    from quillmark.llm.storage import Scratch, clear
+
+    one, two = Scratch(spark, "one"), Scratch(spark, "two")
+    for s in (one, two):
+        s.table(spark.range(3), "t")
+    places = [pathlib.Path(s.path.removeprefix("file://")) for s in (one, two)]
+    assert all(p.is_dir() for p in places)
+    Scratch.every[:], before = [one, two], [s for s in Scratch.every if s not in (one, two)]
+    clear()
+    assert not any(p.exists() for p in places)
+    Scratch.every[:] = before
+
+
 def test_every_operator_takes_empty_tables(spark):
     none = table(spark, []).withColumn("id", F.lit(1))
     assert simhash.near_duplicates(none).count() == 0

@@ -22,6 +22,9 @@ A_CASES = [
     ("The build failed.", {"error_keyword"}),
     ("errorless and buggy.", set()),
     ("error_x.", set()),
+    ("It was FAİLED.", {"error_keyword"}),
+    ("an ınvalid, craſhed thing.", {"error_keyword"}),
+    ("APİ_KEY: abcdefghijklmnop.", {"sensitive_info"}),
     ("설정 오류입니다.", {"error_keyword"}),
     ("Stops here...", {"answer_truncated"}),
     ("- one\n- two", set()),
