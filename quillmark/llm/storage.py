@@ -18,9 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from quillmark.session import shared_dir
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application."""
+    """Sends this package to the Python workers, once per application.
+
+    Texts are long, so batches of rows for Python are made smaller than Spark's
+    default, unless the session has its own size: the JVM and the worker each hold
+    one or two for each task.
+    """
     sc = spark.sparkContext
+    name, default, own = _BATCH
+    if spark.conf.get(name) == default:
+        spark.conf.set(name, own)
     if getattr(sc, "_quillmark_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -37,12 +48,15 @@ def ship(spark: SparkSession) -> None:
 
 
 class Scratch:
-    """Tables of one query. They go when the driver ends, or earlier by :meth:`drop`."""
+    """Tables of one query. They go when the driver ends, or earlier by :meth:`drop` and :func:`clear`."""
+
+    every: list[Scratch] = []
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         ship(spark)
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.every.append(self)
         atexit.register(self._remove, self.path)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
@@ -62,3 +76,11 @@ class Scratch:
             place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
         except Exception:  # the session has already ended; the folder is the cluster's to clear
             pass
+
+
+def clear() -> None:
+    """Removes the tables of all queries so far; for long sessions, once their results are written."""
+    while Scratch.every:
+        one = Scratch.every.pop()
+        atexit.unregister(one._remove)
+        one._remove(one.path)
