@@ -20,19 +20,22 @@ from quillmark.llm.storage import Scratch
 _MAX_ROUNDS = 60
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    u, v = [], []
-    size = 0
+_STEP = 1_000_000
+
+
+def forests(edges: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The edges of one task, in steps, as forests with the same components."""
+    u, v, size = [], [], 0
 
     def done() -> pa.RecordBatch:
         a, b = kernel.forest(np.concatenate(u), np.concatenate(v))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
 
-    for batch in batches:
-        u.append(batch.column(0).to_numpy(zero_copy_only=False))
-        v.append(batch.column(1).to_numpy(zero_copy_only=False))
-        size += len(u[-1])
-        if size > 2_000_000:
+    for a, b in edges:
+        u.append(a)
+        v.append(b)
+        size += len(a)
+        if size > _STEP:
             yield done()
             u, v, size = [], [], 0
     if u:
@@ -40,8 +43,8 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
-    """``edges(u, v)`` of longs without nulls -> ``(node, root)`` for each node that isn't the least of its component."""
-    star = scratch.table(edges.select("u", "v").where("u <> v").mapInArrow(_contract, "u long, v long"), f"{name}-0")
+    """``edges(u, v)`` of longs without nulls, best a forest for each task -> ``(node, root)`` for each node that isn't the least of its component."""
+    star = scratch.table(edges.select("u", "v").where("u <> v"), f"{name}-0")
     for step in range(1, _MAX_ROUNDS):
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # a table of its own: the join can then split a node with very many links

@@ -124,7 +124,7 @@ def _compare(limit: int):
             v.append(b)
         return np.concatenate(u), np.concatenate(v)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             lists = batch.column(0)
             offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -143,10 +143,9 @@ def _compare(limit: int):
                 a, b = links(values[offsets[g] : offsets[g + 1]])
                 u.append(a)
                 v.append(b)
-            a, b = kernel.forest(np.concatenate(u), np.concatenate(v))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
+            yield kernel.forest(np.concatenate(u), np.concatenate(v))
 
-    return run
+    return lambda batches: graph.forests(pairs(batches))
 
 
 def near_links(nodes: DataFrame, scratch: Scratch, threshold: int = 3, block: int = BLOCK) -> DataFrame:
