@@ -21,9 +21,10 @@ import base64
 import contextlib
 import gc
 import hashlib
+import struct
 import threading
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -133,6 +134,12 @@ class Prefixes:
         return self.vocabulary.path(self.data, self.last)
 
 
+@lru_cache(maxsize=4096)
+def _packer(n: int) -> struct.Struct:
+    """So many ids, four bytes each."""
+    return struct.Struct(f"<{n}i")
+
+
 class _Kept(dict):
     """A bounded cache: when it is full, what was used since the last time stays."""
 
@@ -181,29 +188,34 @@ class Encoder:
         self.vocabulary.extend(start, last)
         return tuple(last)
 
-    def _piece(self, text: str) -> tuple[int, ...]:
+    def _piece(self, text: str) -> bytes:
         data = text.encode("utf-8", "replace")
         rank = self.vocabulary.ranks.get(data)
         if rank is not None:
-            return (rank,)
+            return _packer(1).pack(rank)
         last = list(self.begun[data[: min(12, (len(data) - 1) // 3 * 3)]])
         self.vocabulary.extend(data, last)
-        return tuple(self.vocabulary.path(data, last))
+        ids = self.vocabulary.path(data, last)
+        return _packer(len(ids)).pack(*ids)
 
-    def _word(self, lead: str, word: str) -> tuple[int, ...] | None:
+    def _word(self, lead: str, word: str) -> bytes | None:
         """The ids of a word as it stands after ``lead``; None where its neighbours matter."""
         if not word or word[0].isspace() or word[-1].isspace():
             return None
         found = self.split(lead + word)
-        return self._piece(found[0]) if len(found) == 1 else tuple(chain.from_iterable(map(self.known.__getitem__, found)))
+        return self._piece(found[0]) if len(found) == 1 else b"".join(map(self.known.__getitem__, found))
+
+    def pieces(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, self.split(text)))
 
-    def pieces(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.known.__getitem__, self.split(text))))
+    def ids(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode(text), dtype="<i4").tolist()
 
-    def encode(self, text: str) -> list[int]:
-        """Where the pattern allows it, a word between single blanks is split by itself; other spacing is split as a whole."""
+    def encode(self, text: str) -> bytes:
+        """The ids, four bytes each."""
+        # where the pattern allows it, a word between single blanks is split by itself; other spacing is split as a whole
         if not self.by_word:
-            return list(self.pieces(text))
+            return self.pieces(text)
         parts = []
         after, first, line = self.next.__getitem__, self.first.__getitem__, self.line
         for one in text.split("\n"):
@@ -211,9 +223,7 @@ class Encoder:
             parts.append(line)
             parts.append(first(words[0]))
             parts.extend(map(after, words[1:]))
-        if None in parts:
-            return list(self.pieces(text))
-        return list(chain.from_iterable(parts[1:]))
+        return self.pieces(text) if None in parts else b"".join(parts[1:])
 
 
 _encoders: dict[tuple[bytes, str], Encoder] = {}
@@ -301,8 +311,8 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
         with _encoder(body.value, pattern) as encoder:
             for batch in kernel.slices(batches, at, 1 << 20):
                 ids = [encoder.encode((t or b"").decode("utf-8", "replace")) for t in batch.column(at).to_pylist()]
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1]))
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+                flat = np.frombuffer(b"".join(ids), dtype="<i4").astype(np.int32, copy=False)
                 columns = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))]
                 if decoder:
                     columns.append(decoder.column(flat, ends))
