@@ -26,19 +26,36 @@ LATIN = r"[A-Za-z\x{c0}-\x{24f}\x{1e00}-\x{1eff}]"
 VIETNAMESE = "[ăâđêôơưàáảãạèéẻẽẹìíỉĩịòóỏõọùúủũụỳýỷỹỵ\\x{1ea0}-\\x{1ef9}]"
 
 
+_FOREIGN = "[" + "".join(SCRIPTS[n][1:-1] for n in ("hangul", "cjk", "cyrillic", "arabic")) + "]"
+_EAST = "[" + (HANGUL + KANA + HAN).replace("[", "").replace("]", "") + "]"
+
+
+def _ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
+def _none_of(c: Column, cls: str) -> Column:
+    """No character of a class without ASCII characters; one look at most, and none at a text of ASCII alone."""
+    return _ascii(c) | ~c.rlike(cls)
+
+
 def scripts_in(c: Column) -> Column:
     """Names of the scripts present."""
     return F.array_compact(F.array(*[F.when(c.rlike(p), name) for name, p in SCRIPTS.items()]))
 
 
 def n_scripts(c: Column) -> Column:
-    return reduce(lambda a, b: a + b, (c.rlike(p).cast("int") for p in SCRIPTS.values()))
+    latin = c.rlike(SCRIPTS["latin"]).cast("int")
+    every = reduce(lambda a, b: a + b, (c.rlike(p).cast("int") for p in SCRIPTS.values()))
+    return F.when(_none_of(c, _FOREIGN), latin).otherwise(every)
 
 
 def dominant_script(c: Column) -> Column:
     """The script with most characters; null if it has fewer than three."""
     counts = F.array(*[F.struct(chars_of(c, p).alias("n"), F.lit(-i).alias("i"), F.lit(name).alias("name")) for i, (name, p) in enumerate(SCRIPTS.items())])
-    return let(F.array_max(counts), lambda best: F.when(best["n"] >= 3, best["name"]))
+    most = let(F.array_max(counts), lambda best: F.when(best["n"] >= 3, best["name"]))
+    # where there is only one script, three characters settle it
+    return F.when(_none_of(c, _FOREIGN), F.when(c.rlike("(?:[A-Za-z][^A-Za-z]*+){3}"), "latin")).otherwise(most)
 
 
 def strip_noise(c: Column) -> Column:
@@ -71,7 +88,8 @@ def detect_clean(c: Column) -> Column:
             .otherwise("unknown")
         )
 
-    return F.when(blank(c), "unknown").otherwise(let(counts, decide))
+    western = F.when(~c.rlike(LATIN), "unknown").when(~_ascii(c) & F.lower(c).rlike(VIETNAMESE), "vi").otherwise("en")
+    return F.when(blank(c), "unknown").when(_none_of(c, _EAST), western).otherwise(let(counts, decide))
 
 
 def detect_language(c: Column) -> Column:

@@ -88,6 +88,11 @@ def contains_any(c: Column, marks) -> Column:
     return out
 
 
+def folded(lower: Column) -> Column:
+    """A lower-cased text with the letters that match s or i without being lower-cased to them: long s, and i with or without a dot."""
+    return F.replace(F.replace(F.replace(lower, F.lit("ſ"), F.lit("s")), F.lit("i\u0307"), F.lit("i")), F.lit("ı"), F.lit("i"))
+
+
 def blank(c: Column) -> Column:
     """Nothing but blanks."""
     return ~c.rlike(NWS)

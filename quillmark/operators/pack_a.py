@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import language, links, markdown
 from quillmark.functions.pii import SECRET_WORDS, SENSITIVE
-from quillmark.functions.text import BLANKS, NOT_AFTER_WORD, WS, W, contains_any, count_of, last_line, py_count, py_strip, text_of
+from quillmark.functions.text import BLANKS, NOT_AFTER_WORD, WS, W, contains_any, count_of, folded, last_line, py_count, py_strip, text_of
 from quillmark.plans.registry import ANSWER, QUERY, RETRIEVED_DOCS, SEARCH_QUERY, Pack, Rule
 
 # Words, marks and tokens of the rules.
@@ -26,6 +26,7 @@ DIRECTIVES = ("삽입", "입력", "기재", "작성", "추가", "여기에", "
 
 # The patterns of the rules.
 ERROR_WORD = f"(?iu){NOT_AFTER_WORD}(?:{'|'.join(ERRORS)})(?!{W})"
+_ERROR_STEMS = tuple(w for w in ERRORS if not any(o != w and w.startswith(o) for o in ERRORS))
 STRUCTURED = rf"^{WS}*(?:[|\-*>+]|\p{{Nd}}+[.)]|#{{1,6}}{WS})"
 NOTHING_FOUND = rf"(?iu)^{WS}*0+{WS}*(?:건|개|docs?|documents?|results?)?{WS}*\z"
 THINK, THOUGHT = "(?iu)<think(?:ing)?>", "(?iu)</think(?:ing)?>"
@@ -48,7 +49,8 @@ def _on(build):
 
 
 def _error_keyword(c: dict[str, Column]) -> Column:
-    return c["text"].rlike(ERROR_WORD) | contains_any(c["text"], ERRORS_KO)
+    some = contains_any(folded(c["lower"]), _ERROR_STEMS)
+    return (some & c["text"].rlike(ERROR_WORD)) | contains_any(c["text"], ERRORS_KO)
 
 
 def _answer_truncated(c: dict[str, Column]) -> Column:
@@ -71,8 +73,7 @@ def _sensitive_info(c: dict[str, Column]) -> Column:
     t = c["text"]
     s = SENSITIVE
     numbers = t.rlike(s["phone"]) | t.rlike(s["rrn"]) | t.rlike(s["card"])
-    # the long s is the one letter that matches s without being lower-cased to it
-    secret = contains_any(F.translate(c["lower"], "ſ", "s"), SECRET_WORDS) & t.rlike(s["secret"])
+    secret = contains_any(folded(c["lower"]), SECRET_WORDS) & t.rlike(s["secret"])
     return (t.contains("@") & (t.rlike(s["email"]) | t.rlike(s["url_auth"]))) | secret | numbers
 
 

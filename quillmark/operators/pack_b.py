@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillmark.functions import language, links, pii
-from quillmark.functions.text import BLANKS, LT, WS, D, blank, chars_of, contains_any, last_line, let, py_count, py_lines, py_rstrip, py_strip, text_of
+from quillmark.functions.text import BLANK_CHARS, WS, D, blank, chars_of, contains_any, last_line, let, py_count, py_lines, py_rstrip, py_strip, text_of
 from quillmark.plans.registry import ANSWER, QUERY, Pack, Rule
 
 QUERY_HEAD = 100
@@ -26,10 +26,6 @@ ASKS_NUMBERS = rf"(?iu)(?:번호를?{WS}*매겨|번호로|numbered{WS}*list|1\.{
 ASKS_JSON = "(?iu)(?:json|제이슨)"
 
 
-def escaped(signs: str) -> str:
-    return "".join("\\" + x if x in "[]{}()*^-\\" else x for x in signs)
-
-
 def no_information(text: Column, keywords=NO_INFORMATION) -> Column:
     return contains_any(text, keywords)
 
@@ -39,7 +35,7 @@ def truncated(text: Column) -> Column:
 
     def of(raw: Column) -> Column:
         last = py_strip(last_line(raw))
-        tail = F.regexp_replace(raw, rf"[{escaped(CLOSING)}{BLANKS}]+\z", "")
+        tail = F.rtrim(raw, F.lit(CLOSING + BLANK_CHARS))
 
         def end(t: Column) -> Column:
             more = lambda a, b: py_count(t, a) > py_count(t, b)
@@ -121,8 +117,10 @@ def breaks_format(head: Column, text: Column, lines: Column) -> Column:
 
 
 def _clean_again(c: dict[str, Column]) -> Column:
-    """The language once noise is stripped twice; a second pass rarely finds more."""
-    return let(language.strip_noise(c["clean"]), lambda x: F.when(x == c["clean"], c["lang"]).otherwise(language.detect_clean(x)))
+    """The language once noise is stripped twice; a second pass finds more only where marks of noise are left."""
+    marks = c["clean"].contains("`") | c["clean"].contains("://") | F.lower(c["clean"]).contains("www.")
+    again = let(language.strip_noise(c["clean"]), lambda x: F.when(x == c["clean"], c["lang"]).otherwise(language.detect_clean(x)))
+    return F.when(marks, again).otherwise(c["lang"])
 
 
 def _prepare(raw: dict[str, Column]) -> list:
