@@ -23,8 +23,9 @@ from quillmark.llm.native import Columns
 from quillmark.llm.storage import Scratch
 
 _STEP = 250_000
-#: Rows of a range.
+#: Rows of a range, as long as that gives no more ranges than a driver can plan; beyond, ranges grow, and their sort spills.
 RANGE_ROWS = 500_000
+MAX_RANGES = 100_000
 ROWS = "key long, ord int, id long, pos int, ext int"
 _LINKS = "edge int, key long, ord int, a long, a_pos int, a_ext int, b long, b_pos int, b_ext int"
 _KINDS = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
@@ -131,7 +132,7 @@ def _link(to_first: bool):
 def links(rows: DataFrame, scratch: Scratch, to_first: bool) -> DataFrame:
     """Pairs (a, a_pos, a_ext, b, b_pos, b_ext), one or two for each row whose key another document has too."""
     rows = scratch.table(rows, "rows")  # ranges are found by sampling: not to be computed twice
-    n = max(rows.sparkSession.sparkContext.defaultParallelism, ceil(rows.count() / RANGE_ROWS))
+    n = min(MAX_RANGES, max(rows.sparkSession.sparkContext.defaultParallelism, ceil(rows.count() / RANGE_ROWS)))
     order = ["key", "ord", "id", "pos"]
     found = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_link(to_first), _LINKS)
     found = scratch.table(found, "links")

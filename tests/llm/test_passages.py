@@ -60,7 +60,14 @@ def test_near_passages(spark, mixed):
     rows = substring_dedup.near_passages(df).collect()
     got = {r.doc_id for r in rows}
     assert plain_repeats(docs, 50) | near <= got and not got & clean and 402 not in got
-    assert all(r.similarity >= 0.8 and r.n_words >= 50 for r in rows)
+    words = {i: re.findall(r"[^\W_]+", (t or "").lower()) for i, t in docs}
+    for r in rows:  # places, lengths, partner and similarity are what they say
+        a, b = words[r.doc_id][r.start_word : r.start_word + r.n_words], words[r.other_id][r.other_word : r.other_word + r.other_words]
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        assert len(a) == r.n_words >= 50 and len(b) == r.other_words >= 50 and r.doc_id != r.other_id
+        assert abs(len(x & y) / len(x | y) - r.similarity) < 1e-9 and r.similarity >= 0.8
+    both = {(r.doc_id, r.start_word, r.other_id, r.other_word) for r in rows}
+    assert both == {(b, j, a, i) for a, i, b, j in both}
 
 
 def test_an_edit_at_every_word(spark):
@@ -407,6 +414,14 @@ def test_near_stage_with_repeated_ids(spark):
     assert [i for i, _ in got] == [0, 1, 3] and got[0][1] == passage(40, 2)
 
 
+def test_near_stage_keeps_the_same_row_of_ties(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(1, passage(40, 1), n) for n in (5, 3, 4)] + [(None, passage(40, 2), n) for n in (9, 8)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, n_chars int").repartition(3)
+        assert sorted(r.n_chars for r in pipeline.near_stage(spark, df, "").collect()) == [3, 8]
+
+
 def test_near_stage_decides_each_row_without_an_id(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     # copies of documents with an id go, one of each group of rows without an id stays
