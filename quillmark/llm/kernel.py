@@ -7,6 +7,8 @@ deterministic over processes and machines.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,13 @@ _MASK = (1 << 64) - 1
 _CHUNK = 1 << 18
 
 
+def give_back() -> None:
+    """Returns memory that this process has freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.empty(n, dtype=np.uint64)
     out[0] = 1
