@@ -22,11 +22,19 @@ found, then denser ones inside those that fail, and the sets of tokens of both
 must have a Jaccard similarity of ``similarity`` or more. A stretch that reaches
 the end of what is looked at is looked at again with more around it.
 
+Before that, copies of whole texts (equal MD5) leave but for one and are linked
+with it, and of the others all that can't be alike another document (``shared``).
+Windows and links are those of what lives.
+
 A stretch of similarity s shares a signature with a chance of s^2 in each band,
-so with three bands it is found with 1 - (1 - s^2)^3: 0.953 at 0.8, 0.993 at 0.9,
-always at 1. A row is linked with one or two documents of its signature, so a link
-is also lost where documents that share these two tokens, but no passage, stand
-between; other signatures of the passage then find it.
+and a row is linked with one or two documents of its signature only. What this
+misses is searched after it: linked documents are classes, and two documents of
+different classes that are alike share tokens that are each in several classes. So
+only such tokens count, places that still live are taken, and all pairs of stretches
+of different classes that share enough of these tokens are verified. Classes are
+therefore whole, whatever the bands find; documents of one class need not all be
+verified against each other. The cost of this step grows with the square of the
+number of classes that share a token among those still living.
 
 Words are lower-cased runs of letters and digits. Defined results: null, empty
 and short texts have no passages; rows without an id are left out; rows under
@@ -39,10 +47,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm import kernel, passages
+from quillmark.llm import bloom, graph, kernel, passages, shared
 from quillmark.llm.storage import Scratch
 from quillmark.llm.suffix_dedup import minimisers
 
@@ -53,6 +61,11 @@ SIMILARITY = 0.8
 _LEVELS = 12
 #: Marks of one passage are closer to each other than this.
 _NEAR = 128
+#: Up to so many copies of whole texts are known to all tasks.
+_MOST_COPIES = 8_000_000
+#: So many tokens must the rarest ones of two stretches of different classes share.
+_SHARED = 4
+_ZERO = np.zeros(1, dtype=np.int64)
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -108,11 +121,9 @@ def _windows(bands: int, words: int, width: int):
     bits = (2 * least).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernel.slices(batches, 1, 1 << 20):
-            h, low, high = _tokens(batch.column(1), width)
-            if not len(h) or (high - low).max() < least:
-                continue
-            doc_of = kernel.belongs(low, high, len(h))
+        for batch in kernel.slices(batches, 4, 1 << 20):
+            h, low, high, row, place = shared.stretches_in(batch)
+            of = kernel.belongs(low, high, len(h))
             ranges = kernel.Ranges(h)
             for i in range(bands):
                 mixed = [kernel.mix(h, 11 + 2 * i + k) for k in range(2)]
@@ -121,14 +132,14 @@ def _windows(bands: int, words: int, width: int):
                 s = np.union1d(a0, b0)
                 x, y = (np.searchsorted(f, s, "right") - 1 for f in (a0, b0))
                 e = np.minimum(a1[x], b1[y])
-                a, b, d = a[x], b[y], doc_of[s]
+                a, b, d = a[x], b[y], of[s]
                 between = ranges.hashes(np.minimum(a, b), np.maximum(a, b) + 1)
                 # the place of the first least token tells how two documents lie to each other
                 columns = [
                     pa.array(kernel.mix(mixed[0][a] * _PAIR + mixed[1][b]).view(np.int64)),
                     pa.array((between >> np.uint64(48)).astype(np.int32)),
-                    batch.column(0).take(pa.array(d)),
-                    pa.array((a - low[d]).astype(np.int32)),
+                    batch.column(0).take(pa.array(row[d])),
+                    pa.array((place[d] + a - low[d]).astype(np.int32)),
                     pa.array(((a - s) << bits | (e + least - 1 - a)).astype(np.int32)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "ord", "id", "pos", "ext"])
@@ -237,6 +248,9 @@ def alike(p: np.ndarray, q: np.ndarray, least: int, similarity: float) -> list[t
     # the longest stretches first; where these are too unlike, denser ones inside them
     for cost in (lenient, 2 * lenient, 6 * lenient, 1 << 30):
         any_here = False
+        # is anything left that can be alike?
+        if (out or cost > lenient) and not len(shared.stretches(p, hit, _ZERO, np.array([len(p)]), least, similarity)[0]):
+            return out
         for find, size in ((longest, core), (dense, least)):
             if np.count_nonzero(hit) < core:
                 return out
@@ -254,7 +268,7 @@ def alike(p: np.ndarray, q: np.ndarray, least: int, similarity: float) -> list[t
                     able = True
                     for search in (longest, dense):
                         for u0, v0 in search(on, cost, need):
-                            for u, v in _widened(u0, v0, least, len(q)) if e - s > e0 - s0 else [(u0, v0)]:
+                            for u, v in _widened(u0, v0, least, len(q)):
                                 got = _overlap(part, _distinct(q[u:v]))
                                 if got >= similarity and (best is None or (v - u, got, -u) > (best[3] - best[2], best[4], -best[2])):
                                     best = (s, e, u, v, got)
@@ -270,6 +284,20 @@ def alike(p: np.ndarray, q: np.ndarray, least: int, similarity: float) -> list[t
     return out
 
 
+def _living(p: np.ndarray, q: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
+    """The stretches of p that can be alike one of q."""
+    hit = _held(p, np.sort(q))
+    s, e, _ = shared.stretches(p, hit, _ZERO, np.array([len(p)]), least, similarity)
+    return list(zip(s.tolist(), e.tolist(), strict=True))
+
+
+def _alike_parts(p: np.ndarray, q: np.ndarray, least: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
+    """What is alike in p and q, by the stretches of each that can be alike one of the other's."""
+    parts = _living(p, q, least, similarity)
+    others = _living(q, p, least, similarity) if parts else []
+    return [(i + s, i + e, k + u, k + v, got) for i, j in parts for k, m in others for s, e, u, v, got in alike(p[i:j], q[k:m], least, similarity)]
+
+
 def _equal(x: np.ndarray, y: np.ndarray) -> int:
     """How many tokens agree from the start, by growing steps."""
     n, done, step = min(len(x), len(y)), 0, 64
@@ -344,29 +372,140 @@ def _stretches(x: np.ndarray, y: np.ndarray, marks: tuple[np.ndarray, ...], leas
     return sorted(set(out))
 
 
+def _whole(n: int, begins: bytes, ends: bytes, tokens: bytes, side: int) -> np.ndarray:
+    """All places of a document, with values of their own where no stretch lives."""
+    out = 2 * np.arange(n, dtype=np.uint64) + np.uint64(side)
+    h, at = np.frombuffer(tokens, dtype=np.uint64), 0
+    for s, e in zip(np.frombuffer(begins, dtype=np.int32).tolist(), np.frombuffer(ends, dtype=np.int32).tolist(), strict=True):
+        out[s:e] = h[at : at + e - s]
+        at += e - s
+    return out
+
+
 def _verify(words: int, width: int, similarity: float):
+    """Passages of pairs (a, b, at, living stretches of both)."""
     least = words - width + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernel.slices(batches, 3, 2 << 20):
-            x, xl, xh = _tokens(batch.column(3), width)
-            y, yl, yh = _tokens(batch.column(4), width)
+        for batch in kernel.slices(kernel.slices(batches, 6, 2 << 20), 10, 2 << 20):
             at = batch.column(2)
             ends = at.offsets.to_numpy()
             fields = [at.values.field(c).to_numpy() for c in range(4)]
             rows = []
-            for n, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            sides = zip(*(batch.column(c).to_pylist() for c in range(3, 11)), strict=True)
+            for n, (a, b, side) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sides, strict=True)):
+                x, y = _whole(*side[:4], 0), _whole(*side[4:], 1)
                 marks = tuple(f[ends[n] : ends[n + 1]] for f in fields)
-                for s, e, u, v, got in _stretches(x[xl[n] : xh[n]], y[yl[n] : yh[n]], marks, least, similarity):
+                fits = (marks[0] < len(x)) & (marks[2] < len(y))  # else of another text under this id
+                found = _stretches(x, y, tuple(m[fits] for m in marks), least, similarity) if fits.any() else []
+                for s, e, u, v, got in found:
                     one, two = (a, s, e - s + width - 1), (b, u, v - u + width - 1)
                     rows += [(*one, *two, got), (*two, *one, got)]
             if rows:
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.float64())], ["id", "start_word", "n_words", "other_id", "other_word", "other_words", "similarity"])
+                yield _found_rows(rows)
 
     return run
 
 
+def _verify_stretches(words: int, width: int, similarity: float):
+    """Passages of pairs of living stretches (a, b, place and tokens of a's, of b's)."""
+    least = words - width + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in kernel.slices(kernel.slices(batches, 3, 2 << 20), 5, 2 << 20):
+            rows = []
+            for a, b, i, x, j, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for s, e, u, v, got in _alike_parts(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), least, similarity):
+                    one, two = (a, i + s, e - s + width - 1), (b, j + u, v - u + width - 1)
+                    rows += [(*one, *two, got), (*two, *one, got)]
+            if rows:
+                yield _found_rows(rows)
+
+    return run
+
+
+def _found_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.float64())], ["id", "start_word", "n_words", "other_id", "other_word", "other_words", "similarity"])
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from graph.forests((b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches)
+
+
+class _Found:
+    """Verified passages ``rows`` and the class ``roots(node, root)`` of each document that isn't the least of its class."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float, bands: int, width: int) -> None:
+        scratch = Scratch(docs.sparkSession, "windows")
+        least = words - width + 1
+        self.known = known = passages.Documents(docs, id_col, text_col, scratch, lower=True)
+        # copies of a whole text: all but one leave, and are linked with that one
+        texts = known.frame.select("id", "t", F.md5("t").alias("m"), F.xxhash64("t").alias("x"))
+        groups = texts.groupBy("m").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.length("t")).alias("size"))
+        groups = scratch.table(groups, "groups")
+        total = groups.agg(F.sum("size")).first()[0] or 0
+        several = groups.where("first < last").select(F.col("m").alias("m2"), "first")
+        few = scratch.table(texts.select("id", "m", "x").join(several, F.col("m") == F.col("m2")).where("id <> first").select("m", "id", "x", "first").distinct(), "copies")
+        key = F.xxhash64("m", "id")
+        own = texts.select("id", "t", "x", key.alias("k"))
+        n = few.count()
+        if n > _MOST_COPIES:
+            own, n = bloom.without(texts, [F.col("m"), F.col("id")], few.select("m", "id")).select("id", "t", "x", key.alias("k")), 0
+        gone = np.sort(np.array([r.k for r in few.select(key.alias("k")).toLocalIterator()] if n else [], dtype=np.int64))
+        gone = docs.sparkSession.sparkContext.broadcast(gone)
+        # what can't be alike anything leaves
+        filters = shared.Filters(total // 6)
+        seen = filters.of(own.mapInArrow(shared.pack(lambda x: _tokens(x, width), least, filters.parts, gone), shared.PACKED))
+        every = scratch.table(own.mapInArrow(shared.living(lambda x: _tokens(x, width), least, similarity, seen, gone), shared.LIVING + ", x long"), "living")
+        alive = every.where(F.length("t") > 0).drop("x")
+        # neighbours under signatures
+        links = passages.links(alive.mapInArrow(_windows(bands, words, width), passages.ROWS), scratch, to_first=True)
+        pairs = links.groupBy("a", "b").agg(F.collect_list(F.struct("a_pos", "a_ext", "b_pos", "b_ext")).alias("at"))
+        schema = "id long, start_word long, n_words long, other_id long, other_word long, other_words long, similarity double"
+
+        for side in "ab":
+            pairs = pairs.join(alive.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in "nset"]), side)
+        pairs = pairs.select("a", "b", "at", *[f"{x}_{c}" for x in "ab" for c in "nset"])
+        found = scratch.table(pairs.mapInArrow(_verify(words, width, similarity), schema).distinct(), "passages")
+        # of copies only those long enough
+        count = every.select(F.col("id").alias("first"), "x", F.col("n") + (width - 1)).toDF("first", "x", "words").distinct()
+        same = few.join(count, ["first", "x"]).select("id", F.lit(0).cast("long").alias("start_word"), F.col("words").cast("long").alias("n_words"), F.col("first").alias("other_id"), F.lit(0).cast("long").alias("other_word"), F.col("words").cast("long").alias("other_words"), F.lit(1.0).alias("similarity"))
+        back = same.select(F.col("other_id").alias("id"), "other_word", "other_words", F.col("id").alias("other_id"), "start_word", "n_words", "similarity").toDF(*same.columns)
+        found = found.union(scratch.table(same.union(back), "same"))
+        roots = graph.components(found.select("id", "other_id").where("id > other_id").mapInArrow(_forests, "u long, v long"), scratch)
+        # whatever could still link two classes: only tokens of several classes count
+        named = alive.join(roots, F.col("id") == F.col("node"), "left").select("id", "n", "s", "e", "t", F.coalesce("root", "id").alias("root"))
+        named = scratch.table(named, "named")
+        seen = filters.of(named.mapInArrow(shared.pack_classes(filters.parts), shared.PACKED_CLASSES), classes=True)
+        rest = scratch.table(named.mapInArrow(shared.still_living(least, similarity, seen), "id long, s int, t binary, root long"), "rest")
+        if rest.limit(1).count():
+            tokens = scratch.table(rest.mapInArrow(shared.postings(least, similarity, seen), "h long, id long, s int, root long, least int"), "postings")
+            often = tokens.groupBy("h").agg(F.count("*").alias("df"), F.min("root").alias("one"), F.max("root").alias("two")).where("one < two").select("h", "df")
+            of = Window.partitionBy("id", "s")
+            rare = tokens.join(often, "h").withColumn("k", F.row_number().over(of.orderBy("df", "h"))).withColumn("all", F.count("*").over(of))
+            # two alike share so many that their rarest ones, all but as many, have _SHARED in common
+            rare = scratch.table(rare.where(f"k <= all - least + least({_SHARED}, least)").select("h", F.col("id").alias("a"), F.col("s").alias("a_s"), F.col("root").alias("ra"), F.least(F.lit(_SHARED), "least").alias("must")), "rare")
+            other = rare.toDF("h", "b", "b_s", "rb", "must_b")
+            more = rare.join(other, "h").where("a < b and ra <> rb").groupBy("a", "a_s", "b", "b_s").agg(F.count("*").alias("n"), F.max(F.least("must", "must_b")).alias("must")).where("n >= must")
+            more = scratch.table(more.select("a", "a_s", "b", "b_s"), "others")
+            for side in "ab":
+                more = more.join(rest.select(F.col("id").alias(side), F.col("s").alias(f"{side}_s"), F.col("t").alias(f"{side}_t")), [side, f"{side}_s"])
+            more = more.select("a", "b", "a_s", "a_t", "b_s", "b_t").mapInArrow(_verify_stretches(words, width, similarity), schema)
+            more = scratch.table(more.distinct(), "late")
+            if more.limit(1).count():
+                found = found.union(more)
+                links = more.select("id", "other_id")
+                for c in ("id", "other_id"):
+                    links = links.join(roots.toDF(c, f"r_{c}"), c, "left").withColumn(f"r_{c}", F.coalesce(f"r_{c}", c))
+                links = links.where("r_id > r_other_id").select(F.col("r_id").alias("u"), F.col("r_other_id").alias("v")).distinct()
+                again = graph.components(scratch.table(links, "late-links"), scratch, "late-classes")
+                # a root that got a root itself takes its class with it
+                moved = roots.join(again.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+                roots = scratch.table(moved.union(again), "roots")
+        self.rows, self.roots = found, roots
+
+
 def near_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -377,14 +516,32 @@ def near_passages(
     width: int = WIDTH,
 ) -> DataFrame:
     """Rows (id_col, start_word, n_words, other_id, other_word, other_words, similarity): a passage and one like it elsewhere; for each of the two."""
-    scratch = Scratch(docs.sparkSession, "windows")
-    known = passages.Documents(docs, id_col, text_col, scratch, lower=True)
-    found = passages.links(known.frame.mapInArrow(_windows(bands, words, width), passages.ROWS), scratch, to_first=True)
-    pairs = found.groupBy("a", "b").agg(F.collect_list(F.struct("a_pos", "a_ext", "b_pos", "b_ext")).alias("at"))
-    pairs = passages.with_texts(scratch.table(pairs, "pairs"), known.frame, scratch).select("a", "b", "at", "ta", "tb")
-    schema = "id long, start_word long, n_words long, other_id long, other_word long, other_words long, similarity double"
-    return known.named(pairs.mapInArrow(_verify(words, width, similarity), schema).distinct())
+    found = _Found(docs, id_col, text_col, words, similarity, bands, width)
+    return found.known.named(found.rows)
+
+
+def passage_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    bands: int = BANDS,
+    width: int = WIDTH,
+) -> DataFrame:
+    """Rows (id_col, class_id, passages): each document that has a passage like one elsewhere, the least document reached by such links, and its passages."""
+    found = _Found(docs, id_col, text_col, words, similarity, bands, width)
+    passage = F.struct("start_word", "n_words", "other_id", "other_word", "other_words", "similarity")
+    roots = found.roots.withColumnsRenamed({"node": "id", "root": "class"})
+    if found.known.numbers is None:
+        own = found.rows.groupBy("id").agg(F.sort_array(F.collect_list(passage)).alias("passages")).join(roots, "id", "left")
+        return own.select(F.col("id").alias(id_col), F.coalesce("class", "id").alias("class_id"), "passages")
+    name = found.known.numbers
+    of = found.rows.select("id").distinct().join(roots, "id", "left").join(name, "id").select("name", F.coalesce("class", "id").alias("class"))
+    of = of.join(of.groupBy("class").agg(F.min("name").alias("class_id")), "class").select(F.col("name").alias(id_col), "class_id")
+    rows = found.known.named(found.rows)
+    return rows.groupBy(id_col).agg(F.sort_array(F.collect_list(passage)).alias("passages")).join(of, id_col).select(id_col, "class_id", "passages")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    return near_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return passage_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))

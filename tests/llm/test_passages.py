@@ -238,6 +238,42 @@ def test_recall_against_all_pairs(spark):
         assert share >= least and len(of) >= 12
 
 
+def test_no_link_between_classes_is_lost(spark):
+    """All pairs alike by 0.8 to 0.85 are found with one band too, and classes are those of brute force; short repeats aren't passages."""
+    docs, n = [], 56
+    for k in range(400):
+        w = passage(n, 100 + k).split()
+        v = [*w[: 20 + k % 17], "edited", *w[21 + k % 17 :]]
+        docs += [(2 * k, f"{passage(20, 3000 + k)} {' '.join(w)} {passage(20, 4000 + k)}"), (2 * k + 1, f"{passage(20, 5000 + k)} {' '.join(v)} {passage(20, 6000 + k)}")]
+    docs += [(900 + i, passage(60, 9)) for i in range(3)] + [(910, "la " * 300), (911, "la " * 20), (912, passage(100, 8))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for bands in (1, 3):
+        got = {r.doc_id: r for r in substring_dedup.passage_classes(df, bands=bands).collect()}
+        assert {i: r.class_id for i, r in got.items()} == {**{i: i & ~1 for i in range(800)}, 900: 900, 901: 900, 902: 900}
+        assert all(p.n_words >= 50 and p.other_words >= 50 and p.similarity >= 0.8 for r in got.values() for p in r.passages)
+
+
+def test_living_stretches_against_brute_force():
+    """Every stretch of which enough distinct tokens are shared is inside a living one."""
+    from quillmark.llm import shared
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        sizes = rng.integers(0, 40, 3)
+        low = np.cumsum(sizes) - sizes
+        h = np.repeat(rng.integers(1, 30, sizes.sum()), rng.integers(1, 4, sizes.sum()))[: sizes.sum()].astype(np.uint64)
+        table = rng.permutation(30)[: rng.integers(1, 30)]
+        hit = np.isin(h, table)
+        s, e, of = shared.stretches(h, hit, low, low + sizes, 6, 0.8)
+        lives = {(int(d), int(p)) for i, j, d in zip(s, e, of, strict=True) for p in range(i, j)}
+        for d in range(3):
+            for i in range(low[d], low[d] + sizes[d]):
+                for j in range(i + 6, low[d] + sizes[d] + 1):
+                    part = set(h[i:j].tolist())
+                    if len(part & set(table.tolist())) >= 0.8 * len(part):
+                        assert all((d, p) in lives for p in range(i, j))
+
+
 def test_matches_against_brute_force(spark, mixed):
     """Every place of a passage of 50 words is covered by a match, and matches can't be extended."""
     df, docs, _, _ = mixed
