@@ -248,9 +248,6 @@ def alike(p: np.ndarray, q: np.ndarray, least: int, similarity: float) -> list[t
     # the longest stretches first; where these are too unlike, denser ones inside them
     for cost in (lenient, 2 * lenient, 6 * lenient, 1 << 30):
         any_here = False
-        # is anything left that can be alike?
-        if (out or cost > lenient) and not len(shared.stretches(p, hit, _ZERO, np.array([len(p)]), least, similarity)[0]):
-            return out
         for find, size in ((longest, core), (dense, least)):
             if np.count_nonzero(hit) < core:
                 return out
