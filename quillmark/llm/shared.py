@@ -79,7 +79,7 @@ def pack(tokens: Callable, least: int, bits: int, gone):
 
 
 def pack_classes(bits: int):
-    """(part, tokens, their classes) of living stretches, each token and class once a batch."""
+    """(part, 32 bits of tokens, their classes) of living stretches, each token and class once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernel.slices(batches, 4, 8 << 20):
@@ -89,7 +89,8 @@ def pack_classes(bits: int):
             h, c = h[order], c[order]
             on = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
             h, c = h[on], c[on]
-            parts, bodies, classes = zip(*((p, h[at].tobytes(), c[at].tobytes()) for p, at in _parted(h, bits)), strict=True)
+            short = (h >> np.uint64(32 - bits)).astype(np.uint32)
+            parts, bodies, classes = zip(*((p, short[at].tobytes(), c[at].tobytes()) for p, at in _parted(h, bits)), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(bodies, pa.binary()), pa.array(classes, pa.binary())], ["part", "h", "c"])
 
     return run
@@ -100,11 +101,10 @@ def _merge(bits: int, size: int, classes: bool):
 
     def done(part: int, bodies: list[bytes], of: list[bytes]) -> pa.RecordBatch:
         if classes:
-            h, c = (np.frombuffer(b"".join(x), dtype=t) for x, t in ((bodies, np.uint64), (of, np.int64)))
+            h, c = (np.frombuffer(b"".join(x), dtype=t) for x, t in ((bodies, np.uint32), (of, np.int64)))
             order = np.lexsort((c, h))
             h, c = h[order], c[order]
-            both = h[1:][(h[1:] == h[:-1]) & (c[1:] != c[:-1])]
-            at = both >> np.uint64(64 - size) & np.uint64((1 << size - bits) - 1)
+            at = h[1:][(h[1:] == h[:-1]) & (c[1:] != c[:-1])] >> np.uint32(32 - (size - bits))
         else:
             x = np.sort(np.frombuffer(b"".join(bodies), dtype=np.uint32))
             at = x[1:][x[1:] == x[:-1]] >> np.uint32(32 - (size - bits))
@@ -201,6 +201,40 @@ def stretches(h: np.ndarray, hit: np.ndarray, low: np.ndarray, high: np.ndarray,
     return s[some], e[some], number[edges[::2]][some]
 
 
+def close(h: np.ndarray, hit: np.ndarray, low: np.ndarray, high: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(from, to, range) of the runs of windows of ``least`` that lack few enough distinct tokens.
+
+    A stretch alike has at most (1 - similarity) / similarity as many distinct tokens
+    that aren't shared as it has shared ones, and these are at most all of its range. No
+    window inside it can have more. In texts that repeat themselves this leaves less than
+    the score, which counts a shared token at each of its places.
+    """
+    sizes = np.maximum(high - low, 0)
+    n, k = int(sizes.sum()), len(low)
+    if not n:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    of = np.repeat(np.arange(k), sizes)
+    end = np.cumsum(sizes)
+    src = np.arange(n) - (end - sizes)[of] + low[of]
+    x, on = h[src], hit[src]
+    order = np.lexsort((x, of))
+    again = (x[order][1:] == x[order][:-1]) & (of[order][1:] == of[order][:-1])
+    before = np.full(n, -1)
+    before[order[1:][again]] = order[:-1][again]
+    total = np.bincount(of[on & (before < 0)], minlength=k)
+    most = np.floor(total * (1 - similarity) / similarity + 1e-9)
+    # a miss counts in the windows that hold its place and none of the same token before it
+    miss = np.flatnonzero(~on)
+    opens = np.maximum(np.maximum(before[miss], miss - least) + 1, (end - sizes)[of[miss]])
+    lacks = np.cumsum(np.bincount(opens, minlength=n + 1) - np.bincount(miss + 1, minlength=n + 1))[:n]
+    i = np.flatnonzero((lacks <= most[of]) & (np.arange(n) + least <= end[of]) & (total[of] > 0))
+    if not len(i):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    first = np.concatenate(([True], (i[1:] != i[:-1] + 1) | (of[i[1:]] != of[i[:-1]])))
+    last = np.concatenate((first[1:], [True]))
+    return src[i[first]], src[i[last] + least - 1] + 1, of[i[first]]
+
+
 def _rows(ids: pa.Array, n: np.ndarray, h: np.ndarray, s: np.ndarray, e: np.ndarray, doc: np.ndarray, before: np.ndarray, which: np.ndarray) -> list[pa.Array]:
     """Columns of LIVING for the rows ``which``; ``before``: what is taken from the places of each stretch to count them from the document's start."""
     cuts = zip(np.searchsorted(doc, which).tolist(), np.searchsorted(doc, which, "right").tolist(), strict=True)
@@ -249,6 +283,9 @@ def still_living(least: int, similarity: float, seen):
             h, low, high, row, place = stretches_in(batch)
             hit = _hits(sent.value, size, h)
             s, e, of = stretches(h, hit, low, high, least, similarity)
+            # whole ones, as what is alike is looked for with what lies around it
+            some = np.unique(close(h, hit, s, e, least, similarity)[2])
+            s, e, of = s[some], e[some], of[some]
             if len(s):
                 at = place[of] + s - low[of]
                 bodies = [h[i:j].tobytes() for i, j in zip(s.tolist(), e.tolist(), strict=True)]
@@ -278,6 +315,41 @@ def postings(least: int, similarity: float, seen):
     return run
 
 
+def among_two(least: int, similarity: float, share: int):
+    """Of (root, id, s, t, h, g, gs), stretches with their tokens and the tokens' sets of classes, and the sets that ``root`` is in too: (a, a_s, other, must, t, h), what lives if only tokens of that class count.
+
+    ``h``: so many of its tokens that ``must`` of them are in any stretch alike, whichever are taken.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in kernel.slices(batches, 3, 1 << 20):
+            bodies, hits = [], []
+            for t, h, g, gs in zip(*(batch.column(c).to_pylist() for c in (3, 4, 5, 6)), strict=True):
+                x = np.frombuffer(t, dtype=np.uint64)
+                own = np.array(h, dtype=np.int64)[np.isin(np.array(g, dtype=np.int64), np.array(gs, dtype=np.int64))]
+                bodies.append(x)
+                hits.append(_among(x, np.sort(own.view(np.uint64))))
+            x, hit, sizes = np.concatenate(bodies), np.concatenate(hits), np.array([len(b) for b in bodies])
+            high = np.cumsum(sizes)
+            s, e, of = stretches(x, hit, high - sizes, high, least, similarity)
+            s, e, on = close(x, hit, s, e, least, similarity)
+            musts: dict[int, int] = {}
+            tokens: dict[int, set[int]] = {}
+            for i, j, n in zip(s.tolist(), e.tolist(), of[on].tolist(), strict=True):
+                own = np.unique(x[i:j][hit[i:j]])
+                need = max(1, int(np.ceil(similarity * _least_distinct(x[i:j], least) - 1e-9)))
+                if len(own) >= need:
+                    must = min(share, need)
+                    musts[n] = min(must, musts.get(n, must))
+                    tokens.setdefault(n, set()).update(own[: len(own) - need + must].view(np.int64).tolist())
+            if musts:
+                at = pa.array(list(musts))
+                columns = [*(batch.column(c).take(at) for c in (1, 2, 0)), pa.array(list(musts.values()), pa.int32()), batch.column(3).take(at), pa.array([list(tokens[n]) for n in musts], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "a_s", "other", "must", "t", "h"])
+
+    return run
+
+
 def _least_distinct(h: np.ndarray, least: int) -> int:
     """A number of distinct tokens that all stretches of ``least`` places have at least."""
     order = np.argsort(h, kind="stable")

@@ -8,6 +8,7 @@ lost without running the expensive steps before it once more.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -69,6 +70,11 @@ class Scratch:
     def drop(self, name: str) -> None:
         self._remove(f"{self.path}/{name}")
 
+    def free(self) -> None:
+        """Lets Spark remove the shuffle files of plans that are no longer held; else they stay until the driver's heap is full."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def _remove(self, path: str) -> None:
         try:
             sc = self.spark.sparkContext

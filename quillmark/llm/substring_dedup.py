@@ -30,11 +30,14 @@ A stretch of similarity s shares a signature with a chance of s^2 in each band,
 and a row is linked with one or two documents of its signature only. What this
 misses is searched after it: linked documents are classes, and two documents of
 different classes that are alike share tokens that are each in several classes. So
-only such tokens count, places that still live are taken, and all pairs of stretches
-of different classes that share enough of these tokens are verified. Classes are
-therefore whole, whatever the bands find; documents of one class need not all be
-verified against each other. The cost of this step grows with the square of the
-number of classes that share a token among those still living.
+only such tokens count, and places that still live are taken. Tokens that the same
+classes have are counted together, and two classes with too few in common are done. Of
+others the one with fewer stretches is looked at with the tokens of both only, and
+what still lives is verified against all stretches of the other that share enough of
+its tokens. Classes are therefore whole, but for what the verification overlooks;
+documents of one class need not all be verified against each other. The cost of this
+step grows with the square of the number of classes that have a set of tokens in common,
+no longer with that of their documents.
 
 Words are lower-cased runs of letters and digits. Defined results: null, empty
 and short texts have no passages; rows without an id are left out; rows under
@@ -412,7 +415,10 @@ def _verify_stretches(words: int, width: int, similarity: float):
         for batch in kernel.slices(kernel.slices(batches, 3, 2 << 20), 5, 2 << 20):
             rows = []
             for a, b, i, x, j, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for s, e, u, v, got in _alike_parts(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), least, similarity):
+                p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                # looked at from either side, as what is found on one side depends on it
+                there = _alike_parts(p, q, least, similarity) or [(u, v, s, e, got) for s, e, u, v, got in _alike_parts(q, p, least, similarity)]
+                for s, e, u, v, got in there:
                     one, two = (a, i + s, e - s + width - 1), (b, j + u, v - u + width - 1)
                     rows += [(*one, *two, got), (*two, *one, got)]
             if rows:
@@ -456,9 +462,12 @@ class _Found:
         seen = filters.of(own.mapInArrow(shared.pack(lambda x: _tokens(x, width), least, filters.parts, gone), shared.PACKED))
         every = scratch.table(own.mapInArrow(shared.living(lambda x: _tokens(x, width), least, similarity, seen, gone), shared.LIVING + ", x long"), "living")
         alive = every.where(F.length("t") > 0).drop("x")
+        scratch.free()
         # neighbours under signatures
         links = passages.links(alive.mapInArrow(_windows(bands, words, width), passages.ROWS), scratch, to_first=True)
-        pairs = links.groupBy("a", "b").agg(F.collect_list(F.struct("a_pos", "a_ext", "b_pos", "b_ext")).alias("at"))
+        scratch.free()
+        # dealt by a, so that the first texts need no other exchange; a document has one or two links for each of its rows
+        pairs = links.repartition("a").groupBy("a", "b").agg(F.collect_list(F.struct("a_pos", "a_ext", "b_pos", "b_ext")).alias("at"))
         schema = "id long, start_word long, n_words long, other_id long, other_word long, other_words long, similarity double"
 
         for side in "ab":
@@ -474,21 +483,13 @@ class _Found:
         # whatever could still link two classes: only tokens of several classes count
         named = alive.join(roots, F.col("id") == F.col("node"), "left").select("id", "n", "s", "e", "t", F.coalesce("root", "id").alias("root"))
         named = scratch.table(named, "named")
+        scratch.drop("links")
+        scratch.drop("living")
         seen = filters.of(named.mapInArrow(shared.pack_classes(filters.parts), shared.PACKED_CLASSES), classes=True)
         rest = scratch.table(named.mapInArrow(shared.still_living(least, similarity, seen), "id long, s int, t binary, root long"), "rest")
         if rest.limit(1).count():
             tokens = scratch.table(rest.mapInArrow(shared.postings(least, similarity, seen), "h long, id long, s int, root long, least int"), "postings")
-            often = tokens.groupBy("h").agg(F.count("*").alias("df"), F.min("root").alias("one"), F.max("root").alias("two")).where("one < two").select("h", "df")
-            of = Window.partitionBy("id", "s")
-            rare = tokens.join(often, "h").withColumn("k", F.row_number().over(of.orderBy("df", "h"))).withColumn("all", F.count("*").over(of))
-            # two alike share so many that their rarest ones, all but as many, have _SHARED in common
-            rare = scratch.table(rare.where(f"k <= all - least + least({_SHARED}, least)").select("h", F.col("id").alias("a"), F.col("s").alias("a_s"), F.col("root").alias("ra"), F.least(F.lit(_SHARED), "least").alias("must")), "rare")
-            other = rare.toDF("h", "b", "b_s", "rb", "must_b")
-            more = rare.join(other, "h").where("a < b and ra <> rb").groupBy("a", "a_s", "b", "b_s").agg(F.count("*").alias("n"), F.max(F.least("must", "must_b")).alias("must")).where("n >= must")
-            more = scratch.table(more.select("a", "a_s", "b", "b_s"), "others")
-            for side in "ab":
-                more = more.join(rest.select(F.col("id").alias(side), F.col("s").alias(f"{side}_s"), F.col("t").alias(f"{side}_t")), [side, f"{side}_s"])
-            more = more.select("a", "b", "a_s", "a_t", "b_s", "b_t").mapInArrow(_verify_stretches(words, width, similarity), schema)
+            more = self._between(rest, tokens, least, similarity, scratch).mapInArrow(_verify_stretches(words, width, similarity), schema)
             more = scratch.table(more.distinct(), "late")
             if more.limit(1).count():
                 found = found.union(more)
@@ -502,6 +503,39 @@ class _Found:
                 roots = scratch.table(moved.union(again), "roots")
         self.rows, self.roots = found, roots
 
+    @staticmethod
+    def _between(rest: DataFrame, tokens: DataFrame, least: int, similarity: float, scratch: Scratch) -> DataFrame:
+        """Pairs (a, b, a_s, a_t, b_s, b_t) of stretches of different classes that can be alike."""
+        # tokens with one set of classes are one row for each of the classes
+        of = scratch.table(tokens.groupBy("h", "root").agg(F.min("least").alias("must")), "classes")
+        sets = of.groupBy("h").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("root")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "root")).alias("y"))
+        sets = scratch.table(sets.where("n > 1").select("h", F.xxhash64("x", "y").alias("g")), "sets")
+        musts = of.groupBy("root").agg(F.min("must").alias("must"))
+        members = of.select("h", "root").join(sets, "h").groupBy("g", "root").agg(F.count("*").alias("w")).join(musts, "root")
+        members = scratch.table(members, "members")
+        other = members.toDF("other", "g", "w2", "must2")
+        # classes with too few tokens in common have no stretches alike
+        pairs = members.join(other, "g").where("root < other").groupBy("root", "other").agg(F.sum("w").alias("n"), F.max(F.greatest("must", "must2")).alias("must"), F.collect_list("g").alias("gs"))
+        pairs = pairs.where("n >= must").select("root", "other", "gs")
+        sizes = rest.groupBy("root").agg(F.count("*").alias("size"))
+        for c in ("root", "other"):
+            pairs = pairs.join(sizes.toDF(c, f"{c}_size"), c)
+        # the class with fewer stretches is looked at first, with the tokens of the other one
+        swap = F.col("other_size") < F.col("root_size")
+        pairs = scratch.table(pairs.select(F.when(swap, F.col("other")).otherwise(F.col("root")).alias("root"), F.when(swap, F.col("root")).otherwise(F.col("other")).alias("other"), "gs"), "class-pairs")
+        held = tokens.join(sets, "h").groupBy("id", "s").agg(F.collect_list(F.struct("h", "g")).alias("hg"))
+        held = scratch.table(rest.join(held, ["id", "s"]).select("root", "id", "s", "t", F.col("hg.h").alias("h"), F.col("hg.g").alias("g")), "held")
+        near = pairs.join(held, "root").select("other", "id", "s", "t", "h", "g", "gs")
+        near = near.mapInArrow(shared.among_two(least, similarity, _SHARED), "a long, a_s int, other long, must int, t binary, h array<long>")
+        near = scratch.table(near, "near")
+        theirs = tokens.select("h", F.col("root").alias("other"), F.col("id").alias("b"), F.col("s").alias("b_s"))
+        key = ["a", "a_s", "other"]
+        found = near.select(*key, "must", F.explode("h").alias("h")).join(theirs, ["h", "other"]).groupBy(*key, "b", "b_s").agg(F.count("*").alias("n"), F.max("must").alias("must")).where("n >= must")
+        found = scratch.table(found.select(*key, "b", "b_s"), "others")
+        found = found.join(near.select(*key, F.col("t").alias("a_t")), key).join(rest.select(F.col("id").alias("b"), F.col("s").alias("b_s"), F.col("t").alias("b_t")), ["b", "b_s"])
+        turn = F.col("b") < F.col("a")
+        return found.select(*[F.when(turn, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("a_s", "b_s"), ("a_t", "b_t"), ("b_s", "a_s"), ("b_t", "a_t"))])
+
 
 def near_passages(
     docs: DataFrame,

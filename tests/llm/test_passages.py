@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,6 +254,54 @@ def test_no_link_between_classes_is_lost(spark):
         assert all(p.n_words >= 50 and p.other_words >= 50 and p.similarity >= 0.8 for r in got.values() for p in r.passages)
 
 
+def test_classes_that_share_lines_are_not_compared_by_documents(spark, monkeypatch):
+    """Three classes of 40 documents have one line of 30 words in common, two by two: 26 tokens, and 37 are needed."""
+    made = {}
+    table = Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name: made.setdefault(name, table(self, df, name)))
+    line = [passage(30, 7000 + k) for k in range(3)]
+    docs = [(100 * k + i, f"{passage(60, 8000 + 100 * k + i)} {line[k]} {line[(k + 1) % 3]} {passage(60, 9000 + 100 * k + i)}") for k in range(3) for i in range(40)]
+    got = {r.doc_id: r.class_id for r in substring_dedup.passage_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: i // 100 * 100 for i, _ in docs}
+    assert made["rest"].count() == 120
+    assert made["others"].count() == 0
+
+
+def test_stretches_are_verified_from_either_side():
+    p = np.arange(68, dtype=np.uint64)
+    new = np.arange(1000, 1166, dtype=np.uint64)
+    q = np.concatenate((new[:65], p[1:8], new[65:70], p[13:35], new[70:75], p[41:63], new[75:115]))
+    for (a, x), (b, y) in (((1, p), (2, q)), ((1, q), (2, p))):
+        batch = pa.RecordBatch.from_arrays([pa.array([a]), pa.array([b]), pa.array([0], pa.int32()), pa.array([x.tobytes()]), pa.array([0], pa.int32()), pa.array([y.tobytes()])], ["a", "b", "a_s", "a_t", "b_s", "b_t"])
+        rows = [r for out in substring_dedup._verify_stretches(50, 5, 0.8)(iter([batch])) for r in out.to_pylist()]
+        assert {(r["id"], r["other_id"]) for r in rows} == {(1, 2), (2, 1)}
+
+
+def test_close_stretches_against_brute_force():
+    """Every stretch that is alike by its distinct tokens is inside one run."""
+    from quillmark.llm import shared
+
+    r = np.random.default_rng(5)
+    lost = 0
+    for size in (2, 4, 8, 30):
+        sizes = r.integers(0, 40, 60)
+        low = np.cumsum(sizes) - sizes
+        h = r.integers(0, size, sizes.sum()).astype(np.uint64)
+        hit = np.isin(h, np.flatnonzero(r.random(size) < 0.7))
+        s, e, of = shared.close(h, hit, low, low + sizes, 6, 0.8)
+        kept = np.zeros(len(h), dtype=bool)
+        for i, j, k in zip(s, e, of, strict=True):
+            assert low[k] <= i < j <= low[k] + sizes[k]
+            kept[i:j] = True
+        for a, n in zip(low, sizes, strict=True):
+            for i in range(a, a + n - 5):
+                for j in range(i + 6, a + n + 1):
+                    if len(set(h[i:j][hit[i:j]])) >= 0.8 * len(set(h[i:j])):
+                        assert any(x <= i and j <= y for x, y in zip(s, e, strict=True))
+        lost += int((~kept).sum())
+    assert lost > 100
+
+
 def test_living_stretches_against_brute_force():
     """Every stretch of which enough distinct tokens are shared is inside a living one."""
     from quillmark.llm import shared
