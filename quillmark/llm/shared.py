@@ -315,41 +315,6 @@ def postings(least: int, similarity: float, seen):
     return run
 
 
-def among_two(least: int, similarity: float, share: int):
-    """Of (root, id, s, t, h, g, gs), stretches with their tokens and the tokens' sets of classes, and the sets that ``root`` is in too: (a, a_s, other, must, t, h), what lives if only tokens of that class count.
-
-    ``h``: so many of its tokens that ``must`` of them are in any stretch alike, whichever are taken.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernel.slices(batches, 3, 1 << 20):
-            bodies, hits = [], []
-            for t, h, g, gs in zip(*(batch.column(c).to_pylist() for c in (3, 4, 5, 6)), strict=True):
-                x = np.frombuffer(t, dtype=np.uint64)
-                own = np.array(h, dtype=np.int64)[np.isin(np.array(g, dtype=np.int64), np.array(gs, dtype=np.int64))]
-                bodies.append(x)
-                hits.append(_among(x, np.sort(own.view(np.uint64))))
-            x, hit, sizes = np.concatenate(bodies), np.concatenate(hits), np.array([len(b) for b in bodies])
-            high = np.cumsum(sizes)
-            s, e, of = stretches(x, hit, high - sizes, high, least, similarity)
-            s, e, on = close(x, hit, s, e, least, similarity)
-            musts: dict[int, int] = {}
-            tokens: dict[int, set[int]] = {}
-            for i, j, n in zip(s.tolist(), e.tolist(), of[on].tolist(), strict=True):
-                own = np.unique(x[i:j][hit[i:j]])
-                need = max(1, int(np.ceil(similarity * _least_distinct(x[i:j], least) - 1e-9)))
-                if len(own) >= need:
-                    must = min(share, need)
-                    musts[n] = min(must, musts.get(n, must))
-                    tokens.setdefault(n, set()).update(own[: len(own) - need + must].view(np.int64).tolist())
-            if musts:
-                at = pa.array(list(musts))
-                columns = [*(batch.column(c).take(at) for c in (1, 2, 0)), pa.array(list(musts.values()), pa.int32()), batch.column(3).take(at), pa.array([list(tokens[n]) for n in musts], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "a_s", "other", "must", "t", "h"])
-
-    return run
-
-
 def _least_distinct(h: np.ndarray, least: int) -> int:
     """A number of distinct tokens that all stretches of ``least`` places have at least."""
     order = np.argsort(h, kind="stable")
