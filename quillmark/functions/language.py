@@ -23,8 +23,9 @@ HANGUL = r"[\x{ac00}-\x{d7a3}\x{1100}-\x{11ff}\x{3130}-\x{318f}]"
 HAN = r"[\x{4e00}-\x{9fff}\x{3400}-\x{4dbf}\x{f900}-\x{faff}]"
 KANA = r"[\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{31f0}-\x{31ff}]"
 LATIN = r"[A-Za-z\x{c0}-\x{24f}\x{1e00}-\x{1eff}]"
-VIETNAMESE = "[ăâđêôơưàáảãạèéẻẽẹìíỉĩịòóỏõọùúủũụỳýỷỹỵ\\x{1ea0}-\\x{1ef9}]"
-
+_VIETNAMESE = "ăâđêôơưàáảãạèéẻẽẹìíỉĩịòóỏõọùúủũụỳýỷỹỵ"
+# In either case, so that texts need not be lower-cased; other characters are told by one comparison.
+VIETNAMESE = f"[\\x{{c0}}-\\x{{1ef9}}&&[{_VIETNAMESE}{_VIETNAMESE.upper()}\\x{{1ea0}}-\\x{{1ef9}}]]"
 
 _FOREIGN = "[" + "".join(SCRIPTS[n][1:-1] for n in ("hangul", "cjk", "cyrillic", "arabic")) + "]"
 _EAST = "[" + (HANGUL + KANA + HAN).replace("[", "").replace("]", "") + "]"
@@ -35,8 +36,25 @@ def _ascii(c: Column) -> Column:
 
 
 def _none_of(c: Column, cls: str) -> Column:
-    """No character of a class without ASCII characters; one look at most, and none at a text of ASCII alone."""
-    return _ascii(c) | ~c.rlike(cls)
+    """No character of a class from U+0400 on; one look at most, and none at a text of ASCII alone.
+
+    A class of many ranges is slow: the characters before are told by one comparison.
+    """
+    return _ascii(c) | ~c.rlike(rf"[\x{{400}}-\x{{ffff}}&&{cls}]")
+
+
+def has_east(c: Column) -> Column:
+    """Whether there is any Hangul, Kana or Han character."""
+    return ~_none_of(c, _EAST)
+
+
+def _www(c: Column) -> Column:
+    return c.rlike(r"[Ww][Ww][Ww]\.")
+
+
+def noisy(c: Column) -> Column:
+    """Whether there is any mark of what :func:`strip_noise` takes."""
+    return c.contains("`") | c.contains("://") | _www(c)
 
 
 def scripts_in(c: Column) -> Column:
@@ -65,14 +83,13 @@ def strip_noise(c: Column) -> Column:
         return F.when(x.contains("`"), F.regexp_replace(F.regexp_replace(x, r"(?s)```.*?```", " "), r"`[^`\n]+`", " ")).otherwise(x)
 
     def addresses(x: Column) -> Column:
-        some = x.contains("://") | F.lower(x).contains("www.")
-        return F.when(some, F.regexp_replace(x, rf"(?iu)(?:https?://|www\.){NWS}+", " ")).otherwise(x)
+        return F.when(x.contains("://") | _www(x), F.regexp_replace(x, rf"(?iu)(?:https?://|www\.){NWS}+", " ")).otherwise(x)
 
     return let(code(c), addresses)
 
 
-def detect_clean(c: Column) -> Column:
-    """:func:`detect_language` of a text without noise."""
+def detect_clean(c: Column, east: Column | None = None) -> Column:
+    """:func:`detect_language` of a text without noise; ``east`` is :func:`has_east` where that is known."""
     counts = F.struct(*[chars_of(c, p).alias(name) for name, p in (("ko", HANGUL), ("ja", KANA), ("zh", HAN), ("la", LATIN))])
 
     def decide(n: Column) -> Column:
@@ -83,13 +100,13 @@ def detect_clean(c: Column) -> Column:
             .when((n["ja"] >= 2) | ((n["ja"] >= 1) & (n["ko"] == 0) & (n["la"] < 3)), "ja")
             .when(share("ko"), "ko")
             .when(share("zh"), "zh")
-            .when(share("la"), F.when(F.lower(c).rlike(r"(?![\x00-\x7f])" + VIETNAMESE), "vi").otherwise("en"))
+            .when(share("la"), F.when(c.rlike(VIETNAMESE), "vi").otherwise("en"))
             .when(n["ko"] > 0, "ko")
             .otherwise("unknown")
         )
 
-    western = F.when(~c.rlike(LATIN), "unknown").when(~_ascii(c) & F.lower(c).rlike(VIETNAMESE), "vi").otherwise("en")
-    return F.when(blank(c), "unknown").when(_none_of(c, _EAST), western).otherwise(let(counts, decide))
+    western = F.when(~c.rlike(LATIN), "unknown").when(~_ascii(c) & c.rlike(VIETNAMESE), "vi").otherwise("en")
+    return F.when(blank(c), "unknown").when(~(has_east(c) if east is None else east), western).otherwise(let(counts, decide))
 
 
 def detect_language(c: Column) -> Column:

@@ -82,17 +82,22 @@ def find_pii(c: Column) -> Column:
 
 
 def contains_pii(c: Column) -> Column:
-    """Whether :func:`find_pii` finds anything; stops at the first kind that does."""
+    """Whether :func:`find_pii` finds anything; stops at the first kind that does.
+
+    All kinds but addresses have four digits in a row, or two with a hyphen or a dot between.
+    """
 
     def any_of(t: Column) -> Column:
         out = F.lit(False)
         for kind, pattern in PATTERNS.items():
+            if kind == "email":
+                continue
             if kind in ("ipv4", "card"):
                 found = F.exists(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), valid_ipv4 if kind == "ipv4" else luhn16)
             else:
                 found = t.rlike(pattern)
             out = out | found
-        return t.rlike(f"[{D}@]") & out
+        return (t.contains("@") & t.rlike(PATTERNS["email"])) | (t.rlike(rf"{D}(?:{D}{{3}}|[.-]{D})") & out)
 
     return let(text_of(c), any_of)
 

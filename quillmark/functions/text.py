@@ -19,6 +19,9 @@ BLANK_CHARS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0
 WS = f"[{BLANKS}]"
 NWS = f"[^{BLANKS}]"
 LT = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}])"
+#: One character that parts lines, and a blank that doesn't.
+BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
+INNER = f"[{BLANKS}&&[^{BREAK[1:-1]}]]"
 WORD = r"\p{L}\p{N}_"
 W = f"[{WORD}]"
 NW = f"[^{WORD}]"
@@ -40,9 +43,17 @@ def text_of(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def ends_in(c: Column, chars) -> Column:
+    """Whether the last character is one of these; the characters before are not counted."""
+    out = F.lit(False)
+    for x in chars:
+        out = out | c.endswith(x)
+    return out
+
+
 def _blank_at(c: Column, last: bool) -> Column:
     """Whether the first or last character is a blank."""
-    return (F.right(c, F.lit(1)) if last else F.substring(c, 1, 1)).isin(*BLANK_CHARS)
+    return ends_in(c, BLANK_CHARS) if last else F.substring(c, 1, 1).isin(*BLANK_CHARS)
 
 
 def py_strip(c: Column) -> Column:
@@ -59,8 +70,9 @@ def py_lines(c: Column) -> Column:
 
 
 def py_count(c: Column, mark: str) -> Column:
-    """Non-overlapping occurrences of a literal."""
-    return ((F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))) / len(mark)).cast("int")
+    """Non-overlapping occurrences of a literal; one look where there is none."""
+    n = ((F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))) / len(mark)).cast("int")
+    return F.when(~c.contains(mark), 0).otherwise(n)
 
 
 def count_of(c: Column, pattern: str) -> Column:

@@ -214,8 +214,7 @@ def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _format_part(of) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        text = text_of(F.col(ANSWER))
-        return turns(spark, sf_dir).select("id", text.alias("t"), pack_b.filled_lines(text).alias("ls")).select("id", of(F.col("t"), F.col("ls")).alias("hit"))
+        return turns(spark, sf_dir).select("id", text_of(F.col(ANSWER)).alias("t")).select("id", of(F.col("t")).alias("hit"))
 
     return run
 
@@ -289,11 +288,11 @@ def _table() -> dict[str, tuple[Query, str | None]]:
     out["b_pii_counts"] = _pii_counts, None
     counted = S._count_lines
     out["b_fmt_table"] = _format_part(pack_b.is_table), S.clean_part(f"({counted("x like '|%' and x like '%|'")} >= 2 or {S.m('raw', f'(?i)<table(?:{S.WS}|>)')})", "hit")
-    out["b_fmt_single_line"] = _format_part(lambda t, ls: pack_b.is_single_line(ls)), S.clean_part("len(ls) <= 1", "hit")
-    out["b_fmt_bullets"] = _format_part(lambda t, ls: pack_b.is_bulleted(ls)), S.clean_part(f"{counted(S.m('x', f'^(?:[-*•·▪]|{S.D}+[.)]){S.WS}+'))} >= 2", "hit")
-    out["b_fmt_numbered"] = _format_part(lambda t, ls: pack_b.is_numbered(ls)), S.clean_part(f"{counted(S.m('x', f'^{S.D}+[.)]{S.WS}+'))} >= 2", "hit")
+    out["b_fmt_single_line"] = _format_part(pack_b.is_single_line), S.clean_part("len(ls) <= 1", "hit")
+    out["b_fmt_bullets"] = _format_part(pack_b.is_bulleted), S.clean_part(f"{counted(S.m('x', f'^(?:[-*•·▪]|{S.D}+[.)]){S.WS}+'))} >= 2", "hit")
+    out["b_fmt_numbered"] = _format_part(pack_b.is_numbered), S.clean_part(f"{counted(S.m('x', f'^{S.D}+[.)]{S.WS}+'))} >= 2", "hit")
     bare = S.strip(S.sub(S.strip("raw"), "(?m)^```(?:json)?|```$"))
-    out["b_fmt_json"] = _format_part(lambda t, ls: pack_b.is_json(t)), S.clean_part(f"({S.m(bare, r'^[\[{]')} and {S.m(bare, r'[\]}]$')})", "hit")
+    out["b_fmt_json"] = _format_part(pack_b.is_json), S.clean_part(f"({S.m(bare, r'^[\[{]')} and {S.m(bare, r'[\]}]$')})", "hit")
     out["b_url_invalid"] = _urls, f"with u0 as (select page_id, unnest([url, regexp_replace(url, '^https?://', 'www.'), '/' || url, substr(url, 1, 12)]) as url from pages), u1 as (select *, {S.strip('url')} as u, lower({S.strip('url')}) as low from u0) select page_id, url, {S._INVALID_B} as hit from u1"
 
     sums = ", ".join(f"count(*) filter (where {n}) as {n}" for n in pack_a.PACK.names())
